@@ -11,6 +11,23 @@ from ledgerloom.schemas import EXPORT_COLUMNS
 SMALL_FILE_BYTES = 64 * 1024 * 1024
 
 
+def export_options(
+    encoding: str = "UTF-8", delimiter: str = ",", quote: str = '"', multiline: bool = True
+) -> dict:
+    """CSV options of an export: columns by header, quotes doubled inside quoted values."""
+    return {
+        "header": True, "enforceSchema": False, "encoding": encoding, "sep": delimiter,
+        "quote": quote, "escape": quote, "multiLine": multiline, "mode": "PERMISSIVE",
+    }
+
+
+def require_columns(found: list[str], columns: dict[str, str] = EXPORT_COLUMNS) -> None:
+    """Fail with the names of the export columns that are not there."""
+    missing = sorted(set(columns) - set(found))
+    if missing:
+        raise ValueError("export lacks columns: " + ", ".join(missing))
+
+
 def read_ledger_export(
     spark: SparkSession,
     path: str,
@@ -26,13 +43,9 @@ def read_ledger_export(
     without rows is an error. ``multiline`` allows line breaks inside quoted values, at the
     price of one task per file; turn it off for large files without such values.
     """
-    export = spark.read.options(
-        header=True, enforceSchema=False, encoding=encoding, sep=delimiter, quote=quote,
-        escape=quote, multiLine=multiline, mode="PERMISSIVE",
-    ).csv(path)
-    missing = sorted(set(columns) - set(export.columns))
-    if missing:
-        raise ValueError("export lacks columns: " + ", ".join(missing))
+    options = export_options(encoding, delimiter, quote, multiline)
+    export = spark.read.options(**options).csv(path)
+    require_columns(export.columns, columns)
     if export.isEmpty():
         raise ValueError("export has no data rows")
     return export.select(

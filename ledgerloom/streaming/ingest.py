@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerloom.schemas import EXPORT_COLUMNS, RATE_PAYLOAD, RAW_RATE_TEXT
-from ledgerloom.sources.exports import with_provenance
+from ledgerloom.sources.exports import export_options, require_columns, with_provenance
 from ledgerloom.sources.rates import RECORD_SCHEMA, rate_rows, upsert_changed
 from ledgerloom.sources.sinks import read_version, write_partitions, write_version
 
@@ -24,13 +24,19 @@ RATE_TABLE = RATE_TABLE.add("ingested_at", "timestamp").add("ingested_by", "stri
 def stream_exports(
     spark: SparkSession, inbox: str, files_per_batch: int = MAX_FILES, multiline: bool = True
 ) -> DataFrame:
-    """Streaming read of export files with path and modification time of each row's file."""
+    """Streaming read of export files with path and modification time of each row's file.
+
+    The columns come from the header of a file that is there when the stream starts; a file
+    with other columns stops it.
+    """
+    options = export_options(multiline=multiline)
+    headers = spark.read.options(**options).csv(inbox).columns
+    require_columns(headers)
     schema = StructType()
-    for header in EXPORT_COLUMNS:
+    for header in headers:
         schema = schema.add(header, "string")
     lines = spark.readStream.schema(schema).options(
-        header=True, enforceSchema=False, escape='"', multiLine=multiline,
-        maxFilesPerTrigger=files_per_batch,
+        **options, maxFilesPerTrigger=files_per_batch
     ).csv(inbox)
     return lines.select(
         *(F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(raw) for h, raw in EXPORT_COLUMNS.items()),
