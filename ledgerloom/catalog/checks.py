@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.derived import Tables
+from ledgerloom.catalog.derived import SOURCE, Tables
 from ledgerloom.catalog.registry import query
+from ledgerloom.plans.core import core_rates, core_transactions
+from ledgerloom.plans.staging import stg_transactions
 from ledgerloom.quality import checks, suite
 
 
@@ -116,13 +118,16 @@ def chk_mapping_required(t: Tables):
 
 def build_suite(t: Tables) -> suite.Suite:
     """Staging, core, reference data and mask checks over the derived ledger."""
-    ledger, rates = t.stored_ledger(), t.stored_rates()
+    raw, masks = t.stored(t.raw_transactions, "raw"), t.stored(t.dirty_mask, "masks")
+    staged = t.stored(stg_transactions(raw, t.ledger_registry, *SOURCE), "staged")
+    staged_rates = t.stored(t.staged_rates(), "staged_rates")
+    ledger = t.stored(core_transactions(staged, t.dim_accounts, t.as_of), "ledger")
     run = suite.Suite()
-    suite.staging_checks(run, t.staged(), t.staged_rates())
-    suite.core_checks(run, ledger, rates, t.dim_accounts)
+    suite.staging_checks(run, staged, staged_rates)
+    suite.core_checks(run, ledger, core_rates(staged_rates), t.dim_accounts)
     suite.seed_checks(run, t.dim_accounts, {"recurring_tag": t.recurring_tag,
-                                            "reserve_tag": t.reserve_tag}, t.raw_transactions)
-    return suite.mask_checks(run, ledger, t.dirty_mask)
+                                            "reserve_tag": t.reserve_tag}, raw)
+    return suite.mask_checks(run, ledger, masks)
 
 
 def _suite_sql() -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans.core import core_rates, core_transactions
 from ledgerloom.plans.staging import stg_rates, stg_transactions
-from ledgerloom.session import shared_dir, tune
+from ledgerloom.session import shared_dir, spread, tune
 
 SYSTEM, OBJECT, TABLE = SOURCE = ("ledger_app", "ledger", "raw_ledger")
 AS_OF = "2001-08-01"
@@ -220,16 +220,23 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = tune(spark), sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in _TEXTS:
             raise AttributeError(name)
-        sql = text(name)
-        frames = {t: self.given(t) for t in GIVEN if "{" + t + "}" in sql}
-        return self.spark.sql(sql, **frames)
+        if name not in self._frames:
+            sql = text(name)
+            frames = {t: self.given(t) for t in GIVEN if "{" + t + "}" in sql}
+            if "orders" in frames:
+                frames["orders"] = spread(frames["orders"])
+            self._frames[name] = self.spark.sql(sql, **frames)
+        return self._frames[name]
 
     @property
     def as_of(self):

@@ -27,7 +27,7 @@ def _checked(parsed: Column, text: Column, what: str, strict: bool) -> Column:
     if not strict:
         return parsed
     message = F.concat(F.lit(f"not a {what}: "), text)
-    return F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(F.raise_error(message))
+    return F.coalesce(parsed, F.when(text.isNotNull(), F.raise_error(message)))
 
 
 def parse_timestamp(text: Column, fmt: str = TIMESTAMP_FORMAT, strict: bool = True) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import MAX_BROADCAST_ROWS, is_small, lookup_join, salted
@@ -33,26 +35,36 @@ def validity_intervals(points: DataFrame, by: list[str], time: str) -> DataFrame
     return points.withColumn("valid_to", following)
 
 
-def dense_days(points: DataFrame, by: list[str], day: str) -> DataFrame:
-    """Every day of every key up to the last day of any, each with the value in force.
+def day_span(points: DataFrame, day: str) -> tuple[date | None, date | None]:
+    """First and last day of a relation (both None if it is empty)."""
+    return tuple(points.agg(F.min(day), F.max(day)).first())
 
-    After that day no value changes, so a later date may look up ``last_day`` instead.
-    """
-    final = points.agg(F.max(day)).scalar()
-    spans = validity_intervals(points, by, day).withColumn("last_day", final)
-    until = F.coalesce(F.date_sub("valid_to", 1), F.col("last_day"))
+
+def dense_days(points: DataFrame, by: list[str], day: str, last_day: date | None) -> DataFrame:
+    """Every day of every key up to ``last_day``, each with the value in force."""
+    spans = validity_intervals(points, by, day)
+    until = F.coalesce(F.date_sub("valid_to", 1), F.lit(last_day).cast("date"))
     days = F.explode(F.sequence(F.col(day), until))
     return spans.withColumn("_day", days).drop(day, "valid_to").withColumnRenamed("_day", day)
 
 
-def rate_board(points: DataFrame) -> DataFrame:
-    """One row per day with a map of all rates in force; the map is as long as the list of
-    currencies. ``last_day`` is the last day any rate changed."""
-    days = dense_days(points, ["base_currency"], "rate_date")
-    entry = F.struct("base_currency", "rate")
-    return days.groupBy("rate_date").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("rates"), F.max("last_day").alias("last_day")
-    )
+def clamp_day(time: str, last_day: date | None) -> Column:
+    """The day to look up: after the last change of any value every day is like the last one.
+
+    A NULL time stays NULL, which least() alone would skip.
+    """
+    day = F.col(time).cast("date")
+    return F.when(day.isNotNull(), F.least(day, F.lit(last_day).cast("date")))
+
+
+def rate_board(points: DataFrame, last_day: date | None) -> DataFrame:
+    """One row per day up to ``last_day`` with a map of all rates in force.
+
+    A map has at most one entry per currency.
+    """
+    days = dense_days(points, ["base_currency"], "rate_date", last_day)
+    entries = F.collect_list(F.struct("base_currency", "rate"))
+    return days.groupBy("rate_date").agg(F.map_from_entries(entries).alias("rates"))
 
 
 def _interval(left, points, by, left_time, right_time, values):
@@ -69,16 +81,12 @@ def _interval(left, points, by, left_time, right_time, values):
 
 
 def _dense(left, points, by, left_time, right_time, values, max_broadcast_rows):
-    days = dense_days(points, by, right_time).select(
+    _, last_day = day_span(points, right_time)
+    days = dense_days(points, by, right_time, last_day).select(
         *by, F.col(right_time).alias("_day"), *values
     )
-    final = points.agg(F.max(right_time)).scalar()
-    day = F.least(F.col(left_time).cast("date"), final)
-    # A NULL time matches nothing, and least() would skip it.
-    day = F.when(F.col(left_time).isNotNull(), day)
-    joined = lookup_join(
-        left.withColumn("_day", day), days, [*by, "_day"], max_broadcast_rows=max_broadcast_rows
-    )
+    dated = left.withColumn("_day", clamp_day(left_time, last_day))
+    joined = lookup_join(dated, days, [*by, "_day"], max_broadcast_rows=max_broadcast_rows)
     return joined.select(*left.columns, *values)
 
 

@@ -32,17 +32,20 @@ def lookup_join(
     how: str = "left",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Equi-join a large side to a lookup side (how: inner, left, left_semi, left_anti).
 
     A lookup side of proven size is broadcast, so the large side is not shuffled. A larger
     one is joined by a shuffle on the key and a salt, so that a key holding a large share of
     the left rows is spread over many tasks; copies of one row, which share a salt, are left
-    to adaptive skew splitting.
+    to adaptive skew splitting. ``small`` tells what the caller already knows of the size.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join cannot be {how}")
-    if is_small(dim, max_broadcast_rows):
+    if small is None:
+        small = is_small(dim, max_broadcast_rows)
+    if small:
         return left.join(F.broadcast(dim), on, how)
     left, dim = salted(left, dim, salts)
     return left.join(dim, [*on, "_salt"], how).drop("_salt")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan here is written for. They can be set on a live session.
 RUNTIME_CONF = {
@@ -17,6 +17,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A small shuffle often feeds an explode that multiplies its rows (days, currencies), so
+    # partitions far below the default 1 MB still deserve a task of their own.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    # The JIT leaves methods above 8000 bytes of bytecode interpreted; beyond that, generated
+    # code split by operator is faster than one fused method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -44,6 +50,12 @@ def local_session(cores: str = "*", app: str = "ledgerloom", **conf: str) -> Spa
     return tune(spark)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input of fewer splits than cores a partition per core; else leave it alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path inside the folder the cluster names in ``spark.checkpoint.dir``.
 
