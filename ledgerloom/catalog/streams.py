@@ -9,10 +9,10 @@ from ledgerloom.catalog.landing import (
     _CLEAN, _LANDED, _NEW_AMOUNT, _TEXT, _catalog, as_of, export_folder, rate_documents,
 )
 from ledgerloom.catalog.registry import query
-from ledgerloom.schemas import RAW_RATE_TEXT
+from ledgerloom.schemas import RATE_TABLE, RAW_RATE_TEXT
 from ledgerloom.session import shared_dir
-from ledgerloom.streaming.ingest import RATE_TABLE, stream_ingest, stream_upsert_rates
 from ledgerloom.sources.sinks import read_version
+from ledgerloom.streaming.ingest import stream_ingest, stream_upsert_rates
 
 
 @query("stream_ingest", f"SELECT {_LANDED}, TRUE AS is_registered FROM raw_transactions")

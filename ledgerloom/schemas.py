@@ -107,3 +107,18 @@ FILE_REGISTRY = T.StructType([
     T.StructField("started_at", T.TimestampType()),
     T.StructField("finished_at", T.TimestampType()),
 ])
+RATE_TABLE = T.StructType([
+    T.StructField("raw_id", T.LongType()),
+    *(T.StructField(name, T.StringType()) for name in RAW_RATE_TEXT),
+    T.StructField("ingested_at", T.TimestampType()),
+    T.StructField("ingested_by", T.StringType()),
+])
+RATE_STATE = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("currency_code", T.StringType()),
+    T.StructField("last_checked_at", T.TimestampType()),
+    T.StructField("last_requested_through", T.DateType()),
+    T.StructField("last_rate_date", T.DateType()),
+    T.StructField("last_rows_affected", T.IntegerType()),
+    T.StructField("updated_at", T.TimestampType()),
+])

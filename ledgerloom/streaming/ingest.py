@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgerloom.schemas import EXPORT_COLUMNS, RATE_PAYLOAD, RAW_RATE_TEXT
+from ledgerloom.schemas import EXPORT_COLUMNS, RATE_PAYLOAD, RATE_TABLE, RAW_RATE_TEXT
 from ledgerloom.sources.exports import export_options, require_columns, with_provenance
 from ledgerloom.sources.rates import RECORD_SCHEMA, rate_rows, upsert_changed
 from ledgerloom.sources.sinks import read_version, write_partitions, write_version
@@ -15,11 +15,6 @@ from ledgerloom.sources.sinks import read_version, write_partitions, write_versi
 MAX_FILES = 1000
 BATCH_STRIDE = 1_000_000
 
-RATE_TABLE = StructType().add("raw_id", "long")
-for _name in RAW_RATE_TEXT:
-    RATE_TABLE = RATE_TABLE.add(_name, "string")
-RATE_TABLE = RATE_TABLE.add("ingested_at", "timestamp").add("ingested_by", "string")
-
 
 def stream_exports(
     spark: SparkSession, inbox: str, files_per_batch: int = MAX_FILES, multiline: bool = True
