@@ -170,7 +170,7 @@ def new_files(t: Tables):
 @query("register_files", """
     SELECT ingestion_id, s3_key, status FROM load_registry WHERE ingestion_id % 2 = 0
     UNION ALL
-    SELECT row_number() OVER (ORDER BY s3_bucket, s3_key)
+    SELECT row_number() OVER (ORDER BY left(md5(s3_key), 3), s3_bucket, s3_key)
            + (SELECT max(ingestion_id) FROM load_registry WHERE ingestion_id % 2 = 0),
            s3_key, 'pending' FROM load_registry WHERE ingestion_id % 2 = 1
 """)

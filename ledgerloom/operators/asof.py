@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import MAX_BROADCAST_ROWS, is_small, lookup_join, salted
 
+INTERVAL_BUCKET_DAYS = 32
 STRATEGIES = ("auto", "interval", "dense", "union")
 
 
@@ -19,6 +20,9 @@ def latest_per_key(
 
     A partial aggregate runs before the shuffle, so a hot key is no hot task.
     """
+    if len(values) == 1 and len(order) == 1:
+        # Without structs the aggregate can hash instead of sort.
+        return df.groupBy(*keys).agg(F.max_by(values[0], order[0]).alias(values[0]))
     last = F.max_by(F.struct(*values), F.struct(*order)).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, *(F.col(f"_last.{v}").alias(v) for v in values))
 
@@ -67,14 +71,30 @@ def rate_board(points: DataFrame, last_day: date | None) -> DataFrame:
     return days.groupBy("rate_date").agg(F.map_from_entries(entries).alias("rates"))
 
 
-def _interval(left, points, by, left_time, right_time, values):
-    spans = validity_intervals(points, by, right_time)
-    spans = spans.select(
+def _day_bucket(time: Column, bucket_days: int) -> Column:
+    return F.floor(F.unix_date(time.cast("date")) / bucket_days)
+
+
+def _bucketed_spans(points, by, right_time, values, bucket_days):
+    """Validity intervals, one row per time bucket they touch, and the last bucket."""
+    first_bucket = _day_bucket(F.col(right_time), bucket_days)
+    last = points.agg(F.max(first_bucket)).first()[0]
+    # The last interval is open: it ends in the last bucket, where later rows are looked up.
+    last_bucket = F.coalesce(_day_bucket(F.col("valid_to"), bucket_days), F.lit(last))
+    return validity_intervals(points, by, right_time).select(
         *(F.col(k).alias(f"_r_{k}") for k in by),
         F.col(right_time).alias("_from"), F.col("valid_to").alias("_to"), *values,
-    )
-    at = F.col(left_time).cast(points.schema[right_time].dataType)
-    match = (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
+        F.explode(F.sequence(first_bucket, last_bucket)).alias("_r_bucket"),
+    ), last
+
+
+def _interval(left, spans, last, by, left_time, right_type, values, bucket_days):
+    """Range join with an equality on a time bucket, so a row meets the few intervals of its
+    key and bucket and not all of its key."""
+    at = F.col(left_time).cast(right_type)
+    bucket = F.least(_day_bucket(F.col(left_time), bucket_days), F.lit(last))
+    match = (bucket == F.col("_r_bucket")) & (at >= F.col("_from")) \
+        & (F.col("_to").isNull() | (at < F.col("_to")))
     for k in by:
         match = match & (F.col(k) == F.col(f"_r_{k}"))
     return left.join(F.broadcast(spans), match, "left").select(*left.columns, *values)
@@ -99,7 +119,7 @@ def _union(left, points, by, left_time, right_time, values, bucket_days, salts):
     time_type = points.schema[right_time].dataType
 
     def bucket(time):
-        return F.floor(F.unix_date(F.col(time).cast("date")) / bucket_days)
+        return _day_bucket(F.col(time), bucket_days)
 
     held = F.struct(*values).alias("_held")
     right = points.select(*by, F.col(right_time).alias("_time"), held,
@@ -160,8 +180,8 @@ def asof_join(
 
     - ``dense``: the right side, kept by date, is filled to one row per key and day and
       joined on equality.
-    - ``interval``: the right side becomes validity intervals, which are broadcast; refused
-      when it is too large for that.
+    - ``interval``: the right side becomes validity intervals, cut at time buckets and
+      broadcast; refused when it is too large for that.
     - ``union``: for a right side that is large or kept by timestamp; both sides are sorted
       together within key, time bucket and salt.
     - ``auto``: ``dense`` for dates, else ``interval`` if the right side is small, else
@@ -172,15 +192,18 @@ def asof_join(
     dated = right.filter(F.col(right_time).isNotNull())
     points = latest_per_key(dated, [*by, right_time], [tie_break or right_time], values)
     by_date = points.schema[right_time].dataType.typeName() == "date"
-    if strategy == "auto":
-        small = not by_date and is_small(points, max_broadcast_rows)
-        strategy = "dense" if by_date else "interval" if small else "union"
-    if strategy == "dense":
+    if strategy == "dense" or (strategy == "auto" and by_date):
         if not by_date:
             raise ValueError("the dense strategy needs a right side kept by date")
         return _dense(left, points, by, left_time, right_time, values, max_broadcast_rows)
-    if strategy == "interval":
-        if not is_small(points, max_broadcast_rows):
+    if strategy in ("auto", "interval"):
+        # Points are counted first, so that only few are cut into buckets, then the result.
+        if is_small(points, max_broadcast_rows):
+            spans, last = _bucketed_spans(points, by, right_time, values, INTERVAL_BUCKET_DAYS)
+            if is_small(spans, max_broadcast_rows):
+                right_type = points.schema[right_time].dataType
+                return _interval(left, spans, last, by, left_time, right_type, values,
+                                 INTERVAL_BUCKET_DAYS)
+        if strategy == "interval":
             raise ValueError("the right side is too large to broadcast; use dense or union")
-        return _interval(left, points, by, left_time, right_time, values)
     return _union(left, points, by, left_time, right_time, values, bucket_days, salts)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ID_BLOCK = 1_000_000
 LOAD_KEY = ["source_system", "source_object", "raw_table"]
 
 
@@ -17,25 +21,27 @@ def load_rank(loads: DataFrame, keys: list[str] = LOAD_KEY, upto: int | None = N
     """Rank of each load within its source, newest first.
 
     With ``upto`` only the first ranks are kept, and Spark cuts each group to them before
-    the shuffle. Without it, a source is ranked day by day and the loads of later days are
-    added from daily counts, so a source with a large share of all loads is not one task.
+    the shuffle. Without it, a source is ranked hour by hour and the loads of later hours are
+    added from hourly counts, so a source with a large share of all loads is not one task.
     """
     if upto is not None:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first()))
         return loads.withColumn("load_rank", rank).filter(F.col("load_rank") <= upto)
-    dated = loads.withColumn("_day", F.col("finished_at").cast("date"))
+    # Loads without an end share no hour; they are ranked by id and cut by that.
+    block = F.when(F.col("finished_at").isNull(), F.floor(F.col("ingestion_id") / ID_BLOCK))
+    parts = [*keys, "_hour", "_block"]
+    dated = loads.withColumn("_hour", F.date_trunc("hour", "finished_at")).withColumn("_block", block)
     later = (
-        Window.partitionBy(*keys).orderBy(F.col("_day").desc_nulls_first())
+        Window.partitionBy(*keys)
+        .orderBy(F.col("_hour").desc_nulls_first(), F.col("_block").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    counts = dated.groupBy(*keys, "_day").agg(F.count("*").alias("_loads")) \
+    counts = dated.groupBy(*parts).agg(F.count("*").alias("_loads")) \
         .withColumn("_later", F.coalesce(F.sum("_loads").over(later), F.lit(0))) \
-        .select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_day").alias("_k_day"), "_later")
-    same = F.col("_day").eqNullSafe(F.col("_k_day"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    in_day = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(*newest_first()))
-    return dated.withColumn("_rank", in_day).join(counts, same).select(
+        .select(*(F.col(k).alias(f"_k_{k}") for k in parts), "_later")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in parts])
+    in_part = F.row_number().over(Window.partitionBy(*parts).orderBy(*newest_first()))
+    return dated.withColumn("_rank", in_part).join(counts, same).select(
         *loads.columns, (F.col("_rank") + F.col("_later")).cast("int").alias("load_rank")
     )
 

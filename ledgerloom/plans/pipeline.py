@@ -109,6 +109,24 @@ def load_exchange_rates(
     return "loaded" if any_change else "skipped"
 
 
+CHECK_KEY = ["target_name", "invocation_id", "unique_id"]
+
+
+def log_checks(
+    results: DataFrame, path: str, target: str, invocation: str, as_of: Column
+) -> None:
+    """Keep check results: a history where a repeated invocation adds nothing, and the
+    current results of each target, which replace its earlier ones."""
+    spark = results.sparkSession
+    logged = suite.log_results(results, target, invocation, as_of).persist()
+    history = sinks.read_table(spark, f"{path}/history", logged.schema)
+    sinks.insert_ignore(history, logged, CHECK_KEY, ["logged_at"]) \
+        .write.mode("append").partitionBy("target_name").parquet(f"{path}/history")
+    current = logged.withColumnRenamed("logged_at", "updated_at")
+    sinks.write_partitions(current, f"{path}/current", ["target_name"])
+    logged.unpersist()
+
+
 @dataclass
 class Reference:
     """Reference data the layers need; the masked layer only with the last two."""

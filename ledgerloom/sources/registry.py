@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import truncate_text
@@ -20,13 +20,18 @@ def new_files(listing: DataFrame, registry: DataFrame) -> DataFrame:
 def register_files(listing: DataFrame, registry: DataFrame, as_of: Column) -> DataFrame:
     """The registry with a pending entry for every listed file it does not know yet.
 
-    Ids continue after the highest one, in order of bucket and key. The listing must be a
-    folder's files, not its rows: it is numbered in one task.
+    Ids continue after the highest one without gaps. Files are numbered within parts given by
+    a hash of their key, however many lie in one folder; only the sizes of the parts, which
+    are at most 4096, are summed up in one task.
     """
-    unknown = lookup_join(listing, registry.select(*FILE_KEY), FILE_KEY, "left_anti")
-    numbered = unknown.selectExpr(
-        "*", f"row_number() OVER (ORDER BY {', '.join(FILE_KEY)}) AS _n"
-    )
+    unknown = lookup_join(listing, registry.select(*FILE_KEY).distinct(), FILE_KEY, "left_anti")
+    parts = unknown.withColumn("_part", F.left(F.md5(F.col("s3_key").cast("binary")), F.lit(3)))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("_part").agg(F.count("*").alias("_files")) \
+        .select("_part", F.coalesce(F.sum("_files").over(before), F.lit(0)).alias("_before"))
+    in_part = F.row_number().over(Window.partitionBy("_part").orderBy(*FILE_KEY))
+    numbered = parts.withColumn("_n", in_part).join(F.broadcast(offsets), "_part") \
+        .withColumn("_n", F.col("_n") + F.col("_before"))
     last = F.coalesce(registry.agg(F.max("ingestion_id")).scalar(), F.lit(0))
     added = {
         "ingestion_id": (last + F.col("_n")).cast("long"),

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.pipeline import (
-    Reference, build_layers, load_exchange_rates, load_latest_export,
+    Reference, build_layers, load_exchange_rates, load_latest_export, log_checks,
 )
 from ledgerloom.schemas import (
     DIM_ACCOUNTS, EXPORT_COLUMNS, FILE_REGISTRY, RATE_STATE, RATE_TABLE, TAG_DICTIONARY,
@@ -236,6 +236,25 @@ def test_build_from_files(spark, tmp_path):
                      str(tmp_path / "layers"), prefix="t_")
 
 
+def test_check_history_and_current_results(spark, tmp_path):
+    def results(*failures):
+        return spark.createDataFrame(
+            [("core__t", f"check_{n}", "warn", f, "warn" if f else "pass")
+             for n, f in enumerate(failures)],
+            "model_name string, test_name string, severity string, failures long, status string")
+
+    path = str(tmp_path / "checks")
+    for target, run, failures in (("dev", "r1", [0, 1]), ("prod", "r1", [5]), ("dev", "r1", [9, 9]),
+                                  ("dev", "r2", [3])):
+        log_checks(results(*failures), path, target, run, now())
+    history = spark.read.parquet(f"{path}/history")
+    assert sorted((r.target_name, r.invocation_id, r.failures) for r in history.collect()) == [
+        ("dev", "r1", 0), ("dev", "r1", 1), ("dev", "r2", 3), ("prod", "r1", 5)]
+    current = spark.read.parquet(f"{path}/current")
+    assert sorted((r.target_name, r.invocation_id, r.failures) for r in current.collect()) == [
+        ("dev", "r2", 3), ("prod", "r1", 5)]
+
+
 def test_wrong_reference_data_stops_the_build(spark, tmp_path):
     names = spark.createDataFrame(fx.accounts(spark).collect()[:3], DIM_ACCOUNTS)
     reference = Reference(names, fx.tags(spark, ("regular", True), ("rent", True)),
