@@ -166,7 +166,7 @@ def _suite_sql() -> str:
                 HAVING count(*) > 1""",
         }
 
-    stg, core = "stg__fact_transaction", "core__fact_transaction"
+    stg, core = "stg_fact_transaction", "core_fact_transaction"
     models = {
         (stg, "warn"): {
             "unique_combination": twice(
@@ -179,11 +179,11 @@ def _suite_sql() -> str:
             "accepted_values_flow_type":
                 "SELECT 1 FROM staged WHERE flow_type NOT IN ('income', 'expense', 'zero')",
         },
-        ("stg__exchange_rate", "warn"): {
+        ("stg_exchange_rate", "warn"): {
             **rates("source_rate_key", "base_amount", "quote_amount", "ingested_at", "ingested_by"),
             **positive("base_amount", "quote_amount"),
         },
-        ("core__exchange_rate", "error"): rates(),
+        ("core_exchange_rate", "error"): rates(),
         (core, "error"): {
             **unique("ledger", "transaction_id"),
             **nulls("ledger", "transaction_id", "transaction_ts", "account", "currency",
@@ -196,14 +196,14 @@ def _suite_sql() -> str:
             "accounts_have_single_currency": """SELECT 1 FROM active GROUP BY account
                 HAVING count(DISTINCT currency) > 1""",
         },
-        ("seed__dim_accounts", "error"): {
+        ("seed_dim_accounts", "error"): {
             **unique("dim_accounts", "account_id", "account_name"),
             **nulls("dim_accounts", "account_id", "account_name", "opening_date",
                     "initial_amount", "currency", "is_active", "is_reserve", "is_credit"),
         },
-        ("seed__recurring_tag", "error"): tags("recurring_tag"),
-        ("seed__reserve_tag", "error"): tags("reserve_tag"),
-        ("demo__category_mapping", "error"): {
+        ("seed_recurring_tag", "error"): tags("recurring_tag"),
+        ("seed_reserve_tag", "error"): tags("reserve_tag"),
+        ("demo_category_mapping", "error"): {
             "categories_are_mapped": """SELECT DISTINCT parent_category, category FROM ledger
                 WHERE category IS NOT NULL AND (parent_category, category) NOT IN
                     (SELECT (real_parent_category, real_category) FROM dirty_mask)""",

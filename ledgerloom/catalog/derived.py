@@ -45,8 +45,7 @@ _KEYED_ORDERS = """
 SELECT o.*, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey % n END AS k,
        (CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey % n END + 1) % n AS counter,
        CAST(o_totalprice AS DECIMAL(18,2)) AS price
-FROM {orders} AS o
-JOIN (SELECT count(*) AS n FROM {supplier}) AS c ON n > 0
+FROM (SELECT o.*, (SELECT count(*) FROM {supplier}) AS n FROM {orders} AS o) AS o
 """
 
 _RAW_BATCH = """

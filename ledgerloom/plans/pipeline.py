@@ -164,10 +164,10 @@ def build_layers(
             suite.enforce(results)
         return results
 
-    staged = keep("stg__fact_transaction", stg_transactions(raw, entries, *source), "view")
-    staged_rates = keep("stg__exchange_rate", stg_rates(raw_rates), "view")
-    ledger = keep("core__fact_transaction", core_transactions(staged, reference.accounts, as_of))
-    rate_table = keep("core__exchange_rate", core_rates(staged_rates))
+    staged = keep("stg_fact_transaction", stg_transactions(raw, entries, *source), "view")
+    staged_rates = keep("stg_exchange_rate", stg_rates(raw_rates), "view")
+    ledger = keep("core_fact_transaction", core_transactions(staged, reference.accounts, as_of))
+    rate_table = keep("core_exchange_rate", core_rates(staged_rates))
 
     run = suite.staging_checks(suite.Suite(), staged, staged_rates)
     run = suite.core_checks(run, ledger, rate_table, reference.accounts)
@@ -179,25 +179,25 @@ def build_layers(
 
     day = as_of.cast("date")
     tags = (reference.recurring, reference.reserve_funded)
-    facts = keep("dm__fact_transaction", marts.fact_mart(ledger, rate_table, *tags),
+    facts = keep("dm_fact_transaction", marts.fact_mart(ledger, rate_table, *tags),
                  by=_MART_PARTITIONS)
-    balances = keep("dm__account_balance", marts.balance_mart(ledger, rate_table, day),
+    balances = keep("dm_account_balance", marts.balance_mart(ledger, rate_table, day),
                     by=_MART_PARTITIONS)
     results.append(check(suite.mart_checks(suite.Suite(), facts, balances, rate_table)))
     if reference.masks is not None:
         masked = (reference.accounts, reference.accounts_demo, reference.masks)
         results.append(check(suite.mask_checks(suite.Suite(), ledger, reference.masks)))
-        facts = keep("dm_demo__fact_transaction", marts.fact_mart_masked(
+        facts = keep("dm_demo_fact_transaction", marts.fact_mart_masked(
             ledger, rate_table, *tags, *masked), by=_MART_PARTITIONS)
-        balances = keep("dm_demo__account_balance", marts.balance_mart_masked(
+        balances = keep("dm_demo_account_balance", marts.balance_mart_masked(
             ledger, rate_table, *masked, day), by=_MART_PARTITIONS)
         results.append(check(suite.mart_checks(
             suite.Suite(), facts, balances, rate_table, layer="dm_demo")))
-    freshness = keep("infra__data_quality_freshness", monitoring.freshness(entries, as_of), "view")
-    volume = keep("infra__data_volume_monitoring", monitoring.volume_monitoring(entries, as_of))
+    freshness = keep("infra_data_quality_freshness", monitoring.freshness(entries, as_of), "view")
+    volume = keep("infra_data_volume_monitoring", monitoring.volume_monitoring(entries, as_of))
     results.append(check(suite.monitoring_checks(suite.Suite(), freshness, volume)))
     combined = results[0]
     for more in results[1:]:
         combined = combined.unionByName(more)
-    keep("infra__check_results", combined)
+    keep("infra_check_results", combined)
     return layers

@@ -28,7 +28,8 @@ class Suite:
     keys: list[tuple[str, str, str, DataFrame]] = field(default_factory=list)
 
     def _severity(self, model: str, severity: str | None) -> str:
-        return severity or LAYER_SEVERITY[model.split("__")[0]]
+        layers = [layer for layer in LAYER_SEVERITY if model.startswith(layer + "_")]
+        return severity or LAYER_SEVERITY[max(layers, key=len)]
 
     def row(self, model: str, df: DataFrame, name: str, fails: Column, severity=None) -> Suite:
         """A check that looks at one row at a time; ``fails`` is true for a failing row."""
@@ -106,7 +107,7 @@ def log_results(results: DataFrame, target: str, invocation: str, as_of: Column)
 
 def staging_checks(suite: Suite, transactions: DataFrame, rates: DataFrame) -> Suite:
     """Checks of the staging layer."""
-    t, r = "stg__fact_transaction", "stg__exchange_rate"
+    t, r = "stg_fact_transaction", "stg_exchange_rate"
     suite.key(t, "unique_combination", checks.unique_combination(transactions, [
         "source_number", "transaction_date", "account", "amount", "currency",
         "transfer_account", "transfer_amount", "transfer_currency",
@@ -136,25 +137,25 @@ def core_checks(
     suite: Suite, ledger: DataFrame, rates: DataFrame, accounts: DataFrame
 ) -> Suite:
     """Checks of the canonical layer."""
-    t = "core__fact_transaction"
+    t = "core_fact_transaction"
     suite.unique(t, ledger, "transaction_id")
     suite.not_null(t, ledger, "transaction_id", "transaction_ts", "account", "currency",
                    "amount_abs", "transaction_type", "ingested_at", "source_file")
     suite.accepted(t, ledger, "transaction_type", LEDGER_TYPES)
     suite.key(t, "accounts_exist_in_dim_accounts", checks.accounts_in_dim(ledger, accounts))
     suite.key(t, "accounts_have_single_currency", checks.single_currency(ledger))
-    return _rate_checks(suite, "core__exchange_rate", rates)
+    return _rate_checks(suite, "core_exchange_rate", rates)
 
 
 def seed_checks(
     suite: Suite, accounts: DataFrame, dictionaries: dict[str, DataFrame], raw: DataFrame,
-    model: str = "seed__dim_accounts",
+    model: str = "seed_dim_accounts",
 ) -> Suite:
     """Checks of reference data: accounts and tag dictionaries."""
     suite.unique(model, accounts, "account_id", "account_name")
     suite.not_null(model, accounts, *accounts.columns)
     for name, dictionary in dictionaries.items():
-        tags = f"seed__{name}"
+        tags = f"seed_{name}"
         suite.unique(tags, dictionary, "tag")
         suite.not_null(tags, dictionary, "tag", "is_active")
         suite.key(tags, "active_tags_exist_in_raw", checks.active_tags_exist(dictionary, raw),
@@ -168,7 +169,7 @@ def mart_checks(
     pivot: str = "RUB",
 ) -> Suite:
     """Checks of the fact and balance marts, or of their masked twins."""
-    f, b = f"{layer}__fact_transaction", f"{layer}__account_balance"
+    f, b = f"{layer}_fact_transaction", f"{layer}_account_balance"
     named = ["account"] if layer == "dm_demo" else []
     suite.not_null(f, facts, "transaction_date", "currency", "period_grain", "period",
                    "target_currency", *named)
@@ -188,7 +189,7 @@ def mart_checks(
 
 def mask_checks(suite: Suite, ledger: DataFrame, masks: DataFrame) -> Suite:
     """Checks of the category masks."""
-    model = "demo__category_mapping"
+    model = "demo_category_mapping"
     suite.key(model, "categories_are_mapped", checks.mapping_coverage(ledger, masks))
     suite.key(model, "unique_real_categories", checks.mapping_unique(masks))
     return suite.key(model, "required_values", checks.mapping_required(masks))
@@ -197,8 +198,8 @@ def mask_checks(suite: Suite, ledger: DataFrame, masks: DataFrame) -> Suite:
 def monitoring_checks(suite: Suite, freshness: DataFrame, volume: DataFrame) -> Suite:
     """Checks of the monitoring tables."""
     for model, df, column, values in (
-        ("infra__data_quality_freshness", freshness, "freshness_status", FRESHNESS_STATUSES),
-        ("infra__data_volume_monitoring", volume, "volume_status", VOLUME_STATUSES),
+        ("infra_data_quality_freshness", freshness, "freshness_status", FRESHNESS_STATUSES),
+        ("infra_data_volume_monitoring", volume, "volume_status", VOLUME_STATUSES),
     ):
         suite.not_null(model, df, column)
         suite.accepted(model, df, column, values)

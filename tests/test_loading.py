@@ -217,12 +217,12 @@ def test_build_from_files(spark, tmp_path):
     landed = spark.read.parquet(raw)
     layers = build_layers(landed, log, fx.raw_rates(spark), reference, fx.SOURCE, now(),
                           str(tmp_path / "layers"), prefix="t_")
-    assert layers["dm__fact_transaction"].count() == 105
-    results = layers["infra__check_results"].filter("status != 'pass'").collect()
+    assert layers["dm_fact_transaction"].count() == 105
+    results = layers["infra_check_results"].filter("status != 'pass'").collect()
     # A zero booking has no label, and no label passes; all else holds.
     assert results == []
-    assert layers["infra__data_quality_freshness"].first().freshness_status == "fresh"
-    one = layers["dm__account_balance"].filter("period_grain = 'Month' AND target_currency = 'RUB'")
+    assert layers["infra_data_quality_freshness"].first().freshness_status == "fresh"
+    one = layers["dm_account_balance"].filter("period_grain = 'Month' AND target_currency = 'RUB'")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(period_grain" in plan
     # With masks that miss categories the build stops before the masked marts.
@@ -239,7 +239,7 @@ def test_build_from_files(spark, tmp_path):
 def test_check_history_and_current_results(spark, tmp_path):
     def results(*failures):
         return spark.createDataFrame(
-            [("core__t", f"check_{n}", "warn", f, "warn" if f else "pass")
+            [("core_t", f"check_{n}", "warn", f, "warn" if f else "pass")
              for n, f in enumerate(failures)],
             "model_name string, test_name string, severity string, failures long, status string")
 

@@ -337,11 +337,11 @@ def test_checks_on_nulls(spark):
 
 def test_suite_counts_rows_in_one_pass_and_enforces(spark):
     rows = spark.createDataFrame([(1, "a"), (None, "x")], "n long, s string")
-    run = suite.Suite().not_null("core__t", rows, "n", "s").accepted("dm__t", rows, "s", ["a"])
+    run = suite.Suite().not_null("core_t", rows, "n", "s").accepted("dm_t", rows, "s", ["a"])
     results = run.run()
     assert {(r.test_name, r.failures, r.status) for r in results.collect()} == {
         ("not_null_n", 1, "fail"), ("not_null_s", 0, "pass"), ("accepted_values_s", 1, "warn")}
-    with pytest.raises(ValueError, match=r"core__t\.not_null_n: 1"):
+    with pytest.raises(ValueError, match=r"core_t\.not_null_n: 1"):
         suite.enforce(results)
     logged = suite.log_results(results, "prod", "run-1", F.lit(datetime(2026, 1, 1)))
     assert checks.unique_combination(logged, ["target_name", "invocation_id", "unique_id"]).isEmpty()
