@@ -4,6 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as driver
+from ledgerloom.catalog import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,15 +14,15 @@ def con():
     return compare.duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    same, line = compare.compare(
-        spark, con, name, driver.queries()[name], driver.oracle_sql().get(name), SF_DIR)
+    same, line = compare.compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF_DIR)
     assert same, line
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
