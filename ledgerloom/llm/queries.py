@@ -6,8 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bagminhash, decontam, line_rules, packing, pii
+from ledgerloom.llm import (
+    bagminhash, decontam, differencing, langid, licenses, line_rules, packing, pii, urls, warc)
 from ledgerloom.llm.common import table
+from ledgerloom.session import shared_dir
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), f"{shared_dir(spark, 'warc')}/archives")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,10 +28,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filtered(table(spark, sf_dir, "pages"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return differencing.extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
@@ -31,6 +53,15 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: build for name, build in list(globals().items()) if name.startswith("op")
+    build.__name__: build
+    for build in (op1_license_scan, op2_warc, op3_packing, op4_quality_rules, op5_language_id, op6_url_filter,
+                  op7_pii, op8_html_extraction, op9_minhash_near_dedup, op10_benchmark_decontamination)
+}
+
+#: Where there is none, SQL lacks the tokenizer, the trained model or the search; tests hold those
+#: queries against brute force, a round trip or held-out labels.
+ORACLES: dict[str, str] = {
+    "op1_license_scan": licenses.oracle(),
+    "op2_warc": warc.ORACLE,
+    "op6_url_filter": urls.oracle(),
 }
-ORACLES: dict[str, str] = {}
