@@ -17,6 +17,7 @@ in the same order. Everything is DataFrame operations; the templates are a small
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,21 +121,14 @@ def template_links(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
 
 def _phrase_places(words: Column, phrases: tuple[tuple[str, str], ...]) -> Column:
     """Array of (start, size, label) of all places of all phrases."""
-    found = []
-    for phrase, label in phrases:
-        parts = phrase.split(" ")
+    def places(parts: list[str], label: str) -> Column:
         last = F.size(words) - len(parts)
         starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        holds = F.filter(starts, lambda i: functools.reduce(
+            lambda a, b: a & b, [F.get(words, i + k) == F.lit(p) for k, p in enumerate(parts)]))
+        return F.transform(holds, lambda i: F.struct(i.cast("long").alias("start"), F.lit(label).alias("label")))
 
-        def holds(i: Column, parts: list[str] = parts) -> Column:
-            same = [F.get(words, i + k) == F.lit(p) for k, p in enumerate(parts)]
-            for other in same[1:]:
-                same[0] = same[0] & other
-            return same[0]
-
-        found.append(F.transform(F.filter(starts, holds), lambda i, label=label: F.struct(
-            i.cast("long").alias("start"), F.lit(label).alias("label"))))
-    return F.flatten(F.array(*found))
+    return F.flatten(F.array(*[places(phrase.split(" "), label) for phrase, label in phrases]))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold: float = THRESHOLD,
@@ -184,7 +178,8 @@ def oracle(templates: tuple[Template, ...] = TEMPLATES, threshold: float = THRES
         places.append(f"[{{'start': i, 'label': '{label}'}} FOR i IN range(len(words) - {len(parts) - 1}) IF {same}]")
     return f"""
 WITH templates AS (
-  SELECT label, list_distinct({words.format('t')}) AS wanted FROM (VALUES {wanted}) AS v(label, t)),
+  SELECT label, list_distinct({words.format('t')}) AS wanted FROM (VALUES {wanted}) AS v(label, t)
+  WHERE len({words.format('t')}) > 0),
 docs AS (SELECT row_number() OVER () AS n, doc_id, text, {words.format('text')} AS words FROM documents),
 placed AS (SELECT *, {' || '.join(places)} AS places FROM docs),
 blocks AS (SELECT n, list_distinct({words.format('line')}) AS held

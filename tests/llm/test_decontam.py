@@ -88,11 +88,9 @@ def test_fingerprints_within_the_radius_share_a_probe(spark):
 
 
 def test_fingerprint_is_the_majority(spark):
-    hashes = [3, 5, -1]
-    got = spark.createDataFrame([(hashes,)], "g array<long>").select(decontam.fingerprint("g")
-                                                                     if False else decontam.fingerprint(
-        spark.createDataFrame([(hashes,)], "g array<long>").g)).first()[0]
-    assert got == 7
+    rows = spark.createDataFrame([([3, 5, -1],), ([-1, -2],), ([7],)], "g array<long>")
+    got = [r.code for r in rows.select(decontam.fingerprint(rows.g).alias("code")).collect()]
+    assert got == [7, -2, 7]
 
 
 def test_empty_tables(spark):
