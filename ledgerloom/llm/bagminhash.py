@@ -12,7 +12,9 @@ Signatures are cut into bands; texts that share a band are candidates; candidate
 exact multiset overlap. No group is expanded into all pairs: members of a bucket are first compared
 with two leaders of it, then with two others, and only members that are still in different classes
 afterwards are compared directly. A pair of candidates is left out only if both are already in one
-class, so classes are those that all verified candidate pairs would give.
+class, so classes are those that all verified candidate pairs would give. Pairs of a bucket of up to
+``CROWD`` members are written down and verified; in a larger one the overlap is a condition of the
+join itself, so that only near pairs ever leave it.
 """
 
 from __future__ import annotations
@@ -29,6 +31,9 @@ from ledgerloom.llm.common import sized, stored, text_key
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, BAND_ROWS = 24, 6  # a pair at 0.8 is a candidate with probability 0.9993
+CROWD = 16
+TICKS = 2**32  # in the mean waiting time of one weight step
+NEVER = np.iinfo(np.int64).max
 DOCS_AT_ONCE = 512
 
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (
@@ -47,8 +52,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _exponential(bits: np.ndarray) -> np.ndarray:
-    return -np.log(((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
+def _waits(bits: np.ndarray, width: np.ndarray | int = 1) -> np.ndarray:
+    """Exponential waiting times at rate ``width``, in whole ticks: sums of ticks do not depend on
+    the order of addition, so a text has one signature whatever batch it is in."""
+    uniform = ((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return (np.log(uniform) * (-TICKS / width)).astype(np.int64)
 
 
 def shingles(texts: list[str | None], n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -109,9 +117,9 @@ def bags(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.ndarray:
-    """Registers of each bag, given as distinct hashes and their whole weights; a row of infinity
+    """Registers of each bag, given as distinct hashes and their whole weights; a row of ``NEVER``
     for an empty bag."""
-    regs = np.full((len(bags), registers), np.inf)
+    regs = np.full((len(bags), registers), NEVER)
     flat = regs.reshape(-1)
     doc = np.repeat(np.arange(len(bags)), [len(h) for h, _ in bags])
     if not len(doc):
@@ -124,7 +132,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.
         width = max(1, low)
         seed = _mix(item[reach] ^ _mix(np.full(reach.size, octave, np.uint64) + _GOLDEN))
         parts.append((doc[reach], seed, np.full(reach.size, low), np.full(reach.size, width),
-                      weight[reach], _exponential(_mix(seed + _GOLDEN)) / width))
+                      weight[reach], _waits(_mix(seed + _GOLDEN), width)))
         low, octave = low + width, octave + 1
     doc, seed, low, width, weight, at = (np.concatenate(x) for x in zip(*parts))
     drawn = np.ones(len(doc), np.uint64)
@@ -142,17 +150,17 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.
             steps = k[:, None] + np.arange(block, dtype=np.uint64)
             bits = _mix(s[:, None] + (steps + np.uint64(1)) * _GOLDEN)
             times = t[:, None] + np.concatenate(
-                [np.zeros((len(d), 1)), np.cumsum(_exponential(bits[:, :-1]), axis=1)], axis=1)
+                [np.zeros((len(d), 1), np.int64), np.cumsum(_waits(bits[:, :-1]), axis=1)], axis=1)
             where = _mix(_mix(s[:, None] ^ _MIX1) + steps * _MIX2) % np.uint64(registers)
             np.minimum.at(flat, (d[:, None] * registers + where.astype(np.int64)).reshape(-1),
                           times.reshape(-1))
             again.append((d, s, low[unit], width[unit], weight[unit],
-                          times[:, -1] + _exponential(bits[:, -1]), k + np.uint64(block)))
+                          times[:, -1] + _waits(bits[:, -1]), k + np.uint64(block)))
         if not unit.all():
             big = ~unit
             d, s, l, h, w, t = doc[big], seed[big], low[big], width[big] // 2, weight[big], at[big]
             to_left = (_mix(s ^ _MIX2) & np.uint64(1)).astype(bool)
-            later = t + _exponential(_mix(s ^ _GOLDEN)) / h
+            later = t + _waits(_mix(s ^ _GOLDEN), h)
             for side in (0, 1):
                 child = _mix(s + _FACTORS[side + 1:side + 2])
                 start = l + side * h
@@ -190,6 +198,18 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"node": part["node"], "keys": band_keys(list(part["text"]))})
 
 
+def _gram_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each bag as a set: the n-th copy of a shingle is an element of its own."""
+    for frame in batches:
+        for at in range(0, len(frame), DOCS_AT_ONCE):
+            part = frame.iloc[at:at + DOCS_AT_ONCE]
+            sets = []
+            for keys, times in bags(list(part["text"])):
+                copy = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+                sets.append(_mix(np.repeat(keys, times) + copy.astype(np.uint64) * _GOLDEN).view(np.int64))
+            yield pd.DataFrame({"node": part["node"], "grams": sets})
+
+
 def _verify(threshold: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -222,6 +242,24 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _near_in_crowds(crowd: DataFrame, signed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Near pairs (a, b) of different roots that share a crowded bucket. A pair is looked at in the
+    first bucket it shares only; if that is not a crowded one, its pairs are written down anyway."""
+    nodes = crowd.select("node").distinct()
+    sets = texts.join(nodes, "node", "left_semi").mapInPandas(_gram_sets, "node binary, grams array<long>")
+    full = stored(crowd.select("key", "node", "root").join(signed, "node").join(sets, "node"), "crowds")
+    one, two = full.alias("one"), full.alias("two")
+    sizes = F.size("one.grams") + F.size("two.grams")
+    common = F.size(F.array_intersect("one.grams", "two.grams"))
+    near = ((F.col("one.key") == F.col("two.key")) & (F.col("one.root") < F.col("two.root"))
+            & (F.least(F.size("one.grams"), F.size("two.grams"))
+               >= threshold * F.greatest(F.size("one.grams"), F.size("two.grams")) - 1e-9)
+            & (F.array_min(F.array_intersect("one.keys", "two.keys")) == F.col("one.key"))
+            & (common / (sizes - common) >= threshold))
+    return one.join(two, near).select(F.least("one.node", "two.node").alias("a"),
+                                      F.greatest("one.node", "two.node").alias("b"))
+
+
 def _text_classes(filled: DataFrame, threshold: float) -> DataFrame:
     """(node, least_id, class_key, class_id) for each distinct text of ``filled`` (doc_id, text, node)."""
     signed = stored(filled.select("node", "text").mapInPandas(_sign, "node binary, keys array<long>")
@@ -256,20 +294,25 @@ def _text_classes(filled: DataFrame, threshold: float) -> DataFrame:
             "root", F.coalesce("root", "node"))
         mark = F.struct(F.xxhash64("node").alias("h"), "node", "root")
         mixed = (placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                                           F.min(mark).alias("m0"), F.max(mark).alias("m1"))
+                                           F.min(mark).alias("m0"), F.max(mark).alias("m1"),
+                                           F.count("*").alias("n"))
                  .filter("r0 <> r1"))
+        crowded = None
         if last:
-            open_rows = stored(placed.join(mixed.select("key"), "key", "left_semi"), "open")
-            other = open_rows.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-            new = ordered(open_rows.join(other, "key").filter("root < root2"), "node", "node2")
+            open_rows = stored(placed.join(mixed.select("key", "n"), "key"), "open")
+            small, crowd = open_rows.filter(F.col("n") <= CROWD), open_rows.filter(F.col("n") > CROWD)
+            other = small.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
+            new = ordered(small.join(other, "key").filter("root < root2"), "node", "node2")
+            crowded = _near_in_crowds(crowd, signed, texts, threshold)
         else:
             near = placed.join(mixed, "key")
             new = (ordered(near.filter("root <> m0.root"), "node", "m0.node")
                    .union(ordered(near.filter("root <> m1.root"), "node", "m1.node")))
         new = stored(new.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
+        if new.isEmpty() and not last:
             break
-        found = stored(verified(new), "near")
+        found = verified(new)
+        found = stored(found if crowded is None else found.union(crowded), "near")
         tested = tested.union(new)
         if not found.isEmpty():
             links = links.union(found)
