@@ -225,18 +225,23 @@ def _verify(threshold: float):
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b), the root being the smallest node of its
-    component. Labels travel to neighbours and then jump along roots until nothing changes."""
+    component. In each step a node, and the root it has so far, take the smallest root among its
+    neighbours; then labels jump along roots, until nothing changes."""
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = stored(both.groupBy(F.col("a").alias("node"))
                     .agg(F.least(F.first("a"), F.min("b")).alias("root")), "roots")
+    nodes = labels.count()
     while True:
-        near = (both.join(labels.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near")))
-        met = labels.join(near, "node").select("node", "root", F.least("root", "near").alias("to"))
-        jump = labels.select(F.col("node").alias("to"), F.col("root").alias("far"))
-        new = stored(met.join(jump, "to", "left").select(
-            "node", F.coalesce(F.least("to", "far"), "to").alias("root"),
-            (F.col("root") != F.coalesce(F.least("to", "far"), "to")).alias("moved")), "roots")
+        known = sized(labels, nodes, 96)
+        seen = both.join(known.withColumnRenamed("node", "b"), "b").select("a", F.col("root").alias("near"))
+        offers = seen.join(known.withColumnRenamed("node", "a"), "a").filter("near < root")
+        best = (offers.select(F.explode(F.array("a", "root")).alias("node"), "near")
+                .groupBy("node").agg(F.min("near").alias("near")))
+        met = labels.join(best, "node", "left").select("node", "root", F.coalesce(F.least("root", "near"), "root").alias("to"))
+        met = stored(met, "offers")
+        jump = met.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        new = stored(met.join(sized(jump, nodes, 96), "to").select(
+            "node", F.col("far").alias("root"), (F.col("root") != F.col("far")).alias("moved")), "roots")
         labels = new.select("node", "root")
         if new.filter("moved").isEmpty():
             return labels
