@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.derived import SOURCE, Tables
 from ledgerloom.catalog.registry import query
 from ledgerloom.plans.core import core_rates, core_transactions
+from ledgerloom.plans.pipeline import log_checks
 from ledgerloom.plans.staging import stg_transactions
 from ledgerloom.quality import checks, suite
+from ledgerloom.session import shared_dir
 
 
 @query("chk_not_null", "SELECT raw_id, rate_date FROM staged_rates WHERE rate_date IS NULL")
@@ -225,3 +228,34 @@ def _suite_sql() -> str:
 @query("check_suite", _suite_sql())
 def check_suite(t: Tables):
     return build_suite(t).run()
+
+
+_LOGGED = "model_name || '.' || test_name AS unique_id, test_name, severity, status, failures"
+_RUNS = [("dev", "first"), ("prod", "first"), ("dev", "second")]
+
+
+def _log(t: Tables, kind: str) -> DataFrame:
+    path = shared_dir(t.spark, "checks")
+    results = t.stored(build_suite(t).run(), "results")
+    # The first run is logged twice, as after a failure between two writes.
+    for target, invocation in [_RUNS[0], *_RUNS]:
+        log_checks(results, path, target, invocation, t.as_of)
+    return t.spark.read.parquet(f"{path}/{kind}").select(
+        "target_name", "invocation_id", "unique_id", "test_name", "severity", "status", "failures", "message")
+
+
+def _runs_sql(runs: list[tuple[str, str]]) -> str:
+    rows = ", ".join(f"('{target}', '{run}')" for target, run in runs)
+    return f"""SELECT target_name, invocation_id, {_LOGGED},
+        CASE WHEN failures > 0 THEN failures || ' failing rows' END AS message
+        FROM ({_suite_sql()}) CROSS JOIN (VALUES {rows}) AS r(target_name, invocation_id)"""
+
+
+@query("check_history", _runs_sql(_RUNS))
+def check_history(t: Tables):
+    return _log(t, "history")
+
+
+@query("check_current", _runs_sql(_RUNS[1:]))
+def check_current(t: Tables):
+    return _log(t, "current")

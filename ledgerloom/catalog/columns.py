@@ -171,28 +171,25 @@ def active_rows(t: Tables):
 
 
 
-@query("convert_amount", """
-    SELECT o_orderkey, target, CASE WHEN own = target THEN amount
-        WHEN target = 'RUB' THEN amount * own_rate
-        WHEN own = 'RUB' THEN amount / nullif(target_rate, 0)
-        ELSE amount * own_rate / nullif(target_rate, 0) END AS converted
-    FROM (SELECT o_orderkey, o_totalprice AS amount,
+# Rates with all twelve digits, small and large ones, zero and missing ones.
+_OWN_RATE = "CAST(o_orderkey * 7 + 1 AS DECIMAL(10,0)) * CAST(0.000001234567 AS DECIMAL(12,12))"
+_TARGET_RATE = """CASE WHEN o_custkey % 5 = 4 THEN NULL
+    ELSE CAST(o_custkey % 5 * o_custkey AS DECIMAL(10,0)) * CAST(0.000000021234 AS DECIMAL(12,12)) END"""
+
+
+@query("convert_amount", f"""
+    SELECT o_orderkey, target, {oracle.converted('price', 'own_rate', 'target_rate', 'own', 'target')} AS converted
+    FROM (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
                  ['RUB', 'USD', 'KGS'][o_orderkey % 3 + 1] AS own,
                  ['RUB', 'USD', 'KGS'][o_custkey % 3 + 1] AS target,
-                 CAST(o_orderkey % 7 + 1 AS DOUBLE) AS own_rate,
-                 CASE WHEN o_custkey % 5 = 4 THEN NULL
-                      ELSE CAST(o_custkey % 5 AS DOUBLE) END AS target_rate
+                 {_OWN_RATE} AS own_rate, {_TARGET_RATE} AS target_rate
           FROM orders)
 """)
 def convert_amount(t: Tables):
     codes = F.array(F.lit("RUB"), F.lit("USD"), F.lit("KGS"))
-    order, customer = F.col("o_orderkey"), F.col("o_custkey")
-    own = codes.getItem((order % 3).cast("int"))
-    target = codes.getItem((customer % 3).cast("int"))
+    own, target = (codes[(F.col(key) % 3).cast("int")] for key in ("o_orderkey", "o_custkey"))
     value = amounts.convert_amount(
-        F.col("o_totalprice"), own, target, order % 7 + 1,
-        F.when(customer % 5 != 4, customer % 5), numeric="double",
-    )
+        F.col("o_totalprice").cast("decimal(18,2)"), own, target, F.expr(_OWN_RATE), F.expr(_TARGET_RATE))
     return t.given("orders").select("o_orderkey", target.alias("target"), value.alias("converted"))
 
 

@@ -110,20 +110,23 @@ FROM ({raw_transactions_sql}) AS r
 GROUP BY ingestion_id, source_file
 """
 
+# Every third day of 82 years; parts beyond those are rates of further currencies.
 RAW_RATES = """
 SELECT p_partkey AS raw_id,
        CASE WHEN p_partkey % 97 = 5 THEN ' ecb' ELSE 'cbr ' END AS source,
        CASE p_partkey % 2 WHEN 0 THEN 'R01235' ELSE 'R01370' END AS source_rate_key,
        substr(CAST(d AS STRING), 9, 2) || '.' || substr(CAST(d AS STRING), 6, 2) || '.'
            || substr(CAST(d AS STRING), 1, 4) AS rate_date,
-       CASE p_partkey % 2 WHEN 0 THEN 'usd' ELSE ' Kgs ' END AS base_currency,
+       CASE WHEN turn > 0 THEN 'c' || CAST(2 * turn + p_partkey % 2 AS STRING)
+            WHEN p_partkey % 2 = 0 THEN 'usd' ELSE ' Kgs ' END AS base_currency,
        CASE WHEN p_partkey % 89 = 7 THEN '0'
             WHEN p_partkey % 2 = 0 THEN '1' ELSE '10' END AS base_amount,
        'rub' AS quote_currency,
        replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING), '.', ',') AS quote_amount,
        TIMESTAMP '2001-08-01 00:00:00' AS ingested_at,
        'loader' AS ingested_by
-FROM (SELECT p.*, DATE '1995-03-01' + CAST(3 * floor(p_partkey / 2) AS INT) AS d
+FROM (SELECT p.*, CAST(floor(p_partkey / 20002) AS BIGINT) AS turn,
+             DATE '1995-03-01' + CAST(3 * floor(p_partkey % 20002 / 2) AS INT) AS d
       FROM {part} AS p) AS p
 """
 

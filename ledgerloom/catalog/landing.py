@@ -9,7 +9,7 @@ from ledgerloom.catalog import derived
 from ledgerloom.catalog.derived import Tables
 from ledgerloom.catalog.registry import query
 from ledgerloom.functions.text import clean_text, normalize_code
-from ledgerloom.schemas import DIM_ACCOUNTS, EXPORT_COLUMNS, RAW_RATE_TEXT
+from ledgerloom.schemas import DIM_ACCOUNTS, EXPORT_COLUMNS, RATE_PAYLOAD, RAW_RATE_TEXT
 from ledgerloom.session import shared_dir
 from ledgerloom.sources import exports, rates, registry, sinks
 
@@ -38,6 +38,11 @@ def read_ledger_export(t: Tables):
     return exports.read_ledger_export(t.spark, export_folder(t)).drop("source_file")
 
 
+@query("read_ledger_export_split", f"SELECT {_LANDED} FROM raw_transactions")
+def read_ledger_export_split(t: Tables):
+    return exports.read_ledger_export(t.spark, export_folder(t), split=True).drop("source_file")
+
+
 @query("latest_file", "SELECT CAST(max(ingestion_id) AS INTEGER) AS batch FROM raw_transactions")
 def latest_file(t: Tables):
     path = shared_dir(t.spark, "inbox")
@@ -49,11 +54,18 @@ def latest_file(t: Tables):
 
 
 # One file per currency, written by one task each, so size and checksum are known.
-@query("file_metadata", """
+_PRIME = f"CAST({exports.CHECKSUM_PRIME} AS HUGEINT)"
+_CHECKSUM_PARTS = " || ':' || ".join(
+    f"(sum({weight}CAST(('0x' || substr(md5(line), {at}, 15)) AS HUGEINT)) % {_PRIME})::VARCHAR"
+    for at in (1, 16) for weight in ("", "(n - 1)::HUGEINT * "))
+
+
+@query("file_metadata", f"""
     SELECT base_currency, CAST(sum(length(line) + 1) AS BIGINT) AS file_size_bytes,
-           md5(string_agg(line || chr(10), '' ORDER BY line)) AS file_checksum
-    FROM (SELECT base_currency, rate_date || ';' || raw_id AS line FROM staged_rates
-          WHERE rate_date IS NOT NULL)
+           md5(sum(length(line) + 1) || ':' || count(*) || ':' || {_CHECKSUM_PARTS}) AS file_checksum
+    FROM (SELECT base_currency, rate_date || ';' || raw_id AS line,
+                 row_number() OVER (PARTITION BY base_currency ORDER BY line) AS n
+          FROM staged_rates WHERE rate_date IS NOT NULL)
     GROUP BY base_currency
 """)
 def file_metadata(t: Tables):
@@ -213,8 +225,8 @@ def registry_transition(t: Tables):
     return registry.registry_transition(entries, events)
 
 
-# Existing rates are the even parts; incoming are all whose number leaves 0 or 1 by 3, some with
-# another amount.
+# Existing rates are the even parts; incoming are the odd parts and those whose number leaves 0 or 1
+# by 3, some with another amount, so every rate is on one side at least.
 _NEW_AMOUNT = "CASE WHEN raw_id % 4 = 0 THEN quote_amount || '1' ELSE quote_amount END"
 _CLEAN = """SELECT raw_id, trim(source) AS source, source_rate_key, rate_date,
     upper(trim(base_currency)) AS base_currency, base_amount, quote_currency, quote_amount
@@ -231,7 +243,7 @@ _MERGED = f"""
                 WHEN o.quote_amount <> i.quote_amount THEN 'update' ELSE 'none' END AS change
     FROM (SELECT * FROM ({_CLEAN}) WHERE raw_id % 2 = 0) AS o
     FULL JOIN (SELECT * REPLACE ({_NEW_AMOUNT} AS quote_amount) FROM ({_CLEAN})
-               WHERE raw_id % 3 <> 2) AS i
+               WHERE raw_id % 3 <> 2 OR raw_id % 2 = 1) AS i
         ON o.source = i.source AND o.rate_date = i.rate_date
         AND o.base_currency = i.base_currency AND o.quote_currency = i.quote_currency
 """
@@ -243,25 +255,25 @@ def _halves(t: Tables) -> tuple[DataFrame, DataFrame]:
         normalize_code(F.col("base_currency")).alias("base_currency"), "base_amount",
         "quote_currency", "quote_amount",
     )
-    incoming = rows.filter("raw_id % 3 <> 2").withColumn("quote_amount", F.expr(_NEW_AMOUNT))
+    incoming = rows.filter("raw_id % 3 <> 2 OR raw_id % 2 = 1").withColumn("quote_amount", F.expr(_NEW_AMOUNT))
     return (rows.filter("raw_id % 2 = 0").select(*RAW_RATE_TEXT), incoming.select(*RAW_RATE_TEXT))
 
 
 @query("upsert_changed", _MERGED)
 def upsert_changed(t: Tables):
-    return rates.upsert_changed(*_halves(t))
+    return rates.upsert_changed(*_halves(t), RATE_PAYLOAD)
 
 
 @query("upsert_changed_shuffled", _MERGED)
 def upsert_changed_shuffled(t: Tables):
-    return rates.upsert_changed(*_halves(t), max_broadcast_rows=0)
+    return rates.upsert_changed(*_halves(t), RATE_PAYLOAD, max_broadcast_rows=0)
 
 
 _STATE = """
     SELECT 'cbr' AS source, 'U' || user_id AS currency_code, max(ts) AS last_checked_at,
            CAST(min(ts) AS DATE) AS last_requested_through,
            CASE WHEN user_id % 4 > 0 THEN CAST(max(ts) AS DATE) END AS last_rate_date,
-           CAST(0 AS INT) AS last_rows_affected, max(ts) AS updated_at
+           CAST(0 AS BIGINT) AS last_rows_affected, max(ts) AS updated_at
     FROM {events} WHERE event_type = 'click' GROUP BY user_id
 """
 _STATE_DUCK = _STATE.replace("{events}", "events")
@@ -324,7 +336,7 @@ _FETCHED = """SELECT 'cbr' AS source, 'U' || user_id AS base_currency, CAST(ts A
                AS last_requested_through,
            CASE WHEN moved THEN greatest(last_rate_date, fetched) ELSE last_rate_date END
                AS last_rate_date,
-           CASE WHEN moved THEN CAST(coalesce(n, 0) AS INT) ELSE last_rows_affected END
+           CASE WHEN moved THEN coalesce(n, 0) ELSE last_rows_affected END
                AS last_rows_affected
     FROM ({_STATE_DUCK}) AS s
     FULL JOIN ({_DUE}) AS d USING (source, currency_code)
@@ -361,13 +373,13 @@ _HISTORY = ["user_id", "event_type"]
 
 @query("insert_ignore", """
     SELECT user_id, event_type, min(event_id) AS event_id FROM events
-    WHERE event_id % 2 = 1 AND (user_id, event_type) NOT IN
+    WHERE event_id % 8 <> 0 AND (user_id, event_type) NOT IN
         (SELECT (user_id, event_type) FROM events WHERE event_id % 8 = 0)
     GROUP BY ALL
 """)
 def insert_ignore(t: Tables):
     rows = t.given("events").select(*_HISTORY, "event_id")
-    return sinks.insert_ignore(rows.filter("event_id % 8 = 0"), rows.filter("event_id % 2 = 1"),
+    return sinks.insert_ignore(rows.filter("event_id % 8 = 0"), rows.filter("event_id % 8 <> 0"),
                                _HISTORY, ["event_id"])
 
 

@@ -14,14 +14,14 @@ from ledgerloom.plans.core import core_rates
 EVENTS_AS_OF = f"TIMESTAMP '{derived.EVENTS_AS_OF}'"
 
 
-def fact_mart(t: Tables, ledger: DataFrame | None = None, numeric: str = "double", **options):
+def fact_mart(t: Tables, ledger: DataFrame | None = None, numeric: str = "decimal", **options):
     return marts.fact_mart(
         t.stored_ledger() if ledger is None else ledger, t.stored_rates(), t.recurring_tag,
         t.reserve_tag, numeric=numeric, **options,
     )
 
 
-def balance_mart(t: Tables, ledger: DataFrame | None = None, numeric: str = "double", **options):
+def balance_mart(t: Tables, ledger: DataFrame | None = None, numeric: str = "decimal", **options):
     return marts.balance_mart(
         t.stored_ledger() if ledger is None else ledger, t.stored_rates(), t.as_of,
         numeric=numeric, **options,
@@ -42,7 +42,7 @@ query("balance_mart", "SELECT * FROM balances")(balance_mart)
 def fact_mart_masked(t: Tables) -> DataFrame:
     return marts.fact_mart_masked(
         t.stored_ledger(), t.stored_rates(), t.recurring_tag, t.reserve_tag, t.dim_accounts,
-        t.dim_accounts_demo, t.category_mask, numeric="double",
+        t.dim_accounts_demo, t.category_mask,
     )
 
 
@@ -50,7 +50,7 @@ def fact_mart_masked(t: Tables) -> DataFrame:
 def balance_mart_masked(t: Tables) -> DataFrame:
     return marts.balance_mart_masked(
         t.stored_ledger(), t.stored_rates(), t.dim_accounts, t.dim_accounts_demo,
-        t.category_mask, t.as_of, numeric="double",
+        t.category_mask, t.as_of,
     )
 
 
@@ -67,13 +67,11 @@ _SECONDS = f"CAST(round((epoch_us({EVENTS_AS_OF}) - epoch_us(finished_at)) / 100
                || {_SECONDS} % 3600 // 60 || ' min' END AS time_since_last_load_text,
            CASE WHEN finished_at IS NULL THEN 'no_data' WHEN {_SECONDS} <= 259200 THEN 'fresh'
                 WHEN {_SECONDS} <= 604800 THEN 'warning' ELSE 'stale' END AS freshness_status
-    FROM load_registry WHERE status = 'loaded' AND finished_at IS NOT NULL
-    ORDER BY finished_at DESC, ingestion_id DESC LIMIT 1
+    FROM load_registry WHERE status = 'loaded'
+    ORDER BY finished_at DESC NULLS FIRST, ingestion_id DESC LIMIT 1
 """)
 def freshness(t: Tables) -> DataFrame:
-    # Loads without an end would win; they have their own query and test.
-    ended = t.load_registry.filter(F.col("finished_at").isNotNull())
-    return monitoring.freshness(ended, F.lit(derived.EVENTS_AS_OF).cast("timestamp"))
+    return monitoring.freshness(t.load_registry, F.lit(derived.EVENTS_AS_OF).cast("timestamp"))
 
 
 @query("freshness_no_end", f"""
@@ -95,9 +93,9 @@ def freshness_no_end(t: Tables) -> DataFrame:
 
 
 RANKED = """
-    SELECT *, CAST(row_number() OVER (
+    SELECT *, row_number() OVER (
         PARTITION BY source_system, source_object, raw_table
-        ORDER BY finished_at DESC NULLS FIRST, ingestion_id DESC) AS INTEGER) AS load_rank
+        ORDER BY finished_at DESC NULLS FIRST, ingestion_id DESC) AS load_rank
     FROM load_registry WHERE status = 'loaded'
 """
 BASELINE = f"""
@@ -152,7 +150,7 @@ _IN_RUB = f"""
     FROM ({_IN_RUB}) WHERE transaction_type = 'Expense' GROUP BY ALL
 """)
 def spend_by_period(t: Tables) -> DataFrame:
-    return dashboards.spend_by_period(fact_mart(t, numeric="decimal"), "Month", "RUB")
+    return dashboards.spend_by_period(fact_mart(t), "Month", "RUB")
 
 
 @query("income_by_period", f"""
@@ -161,7 +159,7 @@ def spend_by_period(t: Tables) -> DataFrame:
     FROM ({_IN_RUB}) WHERE transaction_type = 'Income' GROUP BY ALL
 """)
 def income_by_period(t: Tables) -> DataFrame:
-    return dashboards.income_by_period(fact_mart(t, numeric="decimal"), "Month", "RUB")
+    return dashboards.income_by_period(fact_mart(t), "Month", "RUB")
 
 
 @query("balance_over_time", """
@@ -175,4 +173,4 @@ def income_by_period(t: Tables) -> DataFrame:
     WHERE period_grain = 'Week' GROUP BY period, account_type
 """)
 def balance_over_time(t: Tables) -> DataFrame:
-    return dashboards.balance_over_time(balance_mart(t, numeric="decimal"), "Week", "RUB")
+    return dashboards.balance_over_time(balance_mart(t), "Week", "RUB")

@@ -133,13 +133,22 @@ def period(day: str, grain: str = "period_grain") -> str:
         WHEN 'Year' THEN CAST(year({day}) AS VARCHAR) END"""
 
 
-def converted(amount: str, kind: str = "DOUBLE", rate: str = "rate") -> str:
-    """Amount in the target currency from own rate o and target rate t."""
-    value = f"CAST({amount} AS {kind})"
-    return f"""CASE WHEN f.currency = f.target_currency THEN {value}
-        WHEN f.target_currency = 'RUB' THEN {value} * o.{rate}
-        WHEN f.currency = 'RUB' THEN {value} / nullif(t.{rate}, 0)
-        ELSE {value} * o.{rate} / nullif(t.{rate}, 0) END"""
+def _whole(number: str, digits: int) -> str:
+    """A decimal with so many digits after the point as a whole number of its last place."""
+    return f"CAST(replace(CAST(CAST({number} AS DECIMAL(38,{digits})) AS VARCHAR), '.', '') AS HUGEINT)"
+
+
+def converted(amount: str, own: str = "o.exact_rate", target: str = "t.exact_rate",
+              currency: str = "f.currency", target_currency: str = "f.target_currency") -> str:
+    """Amount in the target currency, in whole numbers: millionths are
+    cents * own / target * 10^4, rounded half away from zero."""
+    one = f"CAST({10 ** 12} AS HUGEINT)"
+    own12 = f"CASE WHEN {currency} = 'RUB' THEN {one} ELSE {_whole(own, 12)} END"
+    target12 = f"CASE WHEN {target_currency} = 'RUB' THEN {one} ELSE nullif({_whole(target, 12)}, 0) END"
+    cents = _whole(amount, 2)
+    return f"""CASE WHEN {currency} = {target_currency} THEN CAST({amount} AS DECIMAL(38,6))
+        ELSE CAST(sign({cents}) * ((2 * abs({cents}) * ({own12}) * 10000 + ({target12})) // (2 * ({target12})))
+            AS DECIMAL(32,0)) * CAST(0.000001 AS DECIMAL(6,6)) END"""
 
 
 def asof(day: str) -> str:

@@ -100,12 +100,12 @@ _ASOF = """
 """
 
 
-def _asof(strategy: str):
+def _asof(strategy: str, **options):
     def build(t: Tables):
         rates = t.staged_rates().withColumnRenamed("base_currency", "currency")
         rows = t.staged().select("raw_id", "currency", "transaction_date")
         return asof.asof_join(rows, rates, ["currency"], "transaction_date", "rate_date", ["rate"],
-                              strategy=strategy, tie_break="raw_id")
+                              strategy=strategy, tie_break="raw_id", **options)
 
     return build
 
@@ -113,6 +113,7 @@ def _asof(strategy: str):
 for _name, _strategy in (("asof_rate_join", "auto"), ("asof_rate_join_interval", "interval"),
                          ("asof_rate_join_dense", "dense"), ("asof_rate_join_union", "union")):
     query(_name, _ASOF)(_asof(_strategy))
+query("asof_rate_join_interval_shuffled", _ASOF)(_asof("interval", max_broadcast_rows=0))
 
 
 @query("lateral_unpivot", f"""
@@ -151,13 +152,18 @@ def missing_in_dim(t: Tables):
 
 
 @query("else_default_row", """
-    SELECT event_id, event_type, value FROM events WHERE value < 0
-    UNION ALL SELECT NULL, 'none', NULL FROM (SELECT count(*) FILTER (value < 0) AS n FROM events)
+    SELECT event_id, event_type, value, 'filled' AS kind FROM events WHERE value >= 0
+    UNION ALL SELECT event_id, event_type, value, 'bare' FROM events WHERE value < 0
+    UNION ALL SELECT NULL, 'none', NULL, kind FROM
+        (SELECT count(*) FILTER (value >= 0) AS n, 'filled' AS kind FROM events
+         UNION ALL SELECT count(*) FILTER (value < 0), 'bare' FROM events)
     WHERE n = 0
 """)
 def else_default_row(t: Tables):
-    rows = t.given("events").filter("value < 0").select("event_id", "event_type", "value")
-    return keyed.else_default_row(rows, {"event_type": F.lit("none")})
+    rows = t.given("events").select("event_id", "event_type", "value")
+    kinds = [keyed.else_default_row(rows.filter(where), {"event_type": F.lit("none")})
+             .withColumn("kind", F.lit(kind)) for kind, where in (("filled", "value >= 0"), ("bare", "value < 0"))]
+    return kinds[0].unionByName(kinds[1])
 
 
 def _loaded(t: Tables):

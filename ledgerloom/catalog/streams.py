@@ -9,7 +9,7 @@ from ledgerloom.catalog.landing import (
     _CLEAN, _LANDED, _NEW_AMOUNT, _TEXT, _catalog, as_of, export_folder, rate_documents,
 )
 from ledgerloom.catalog.registry import query
-from ledgerloom.schemas import RATE_TABLE, RAW_RATE_TEXT
+from ledgerloom.schemas import FILE_REGISTRY, RATE_TABLE, RAW_RATE_TEXT
 from ledgerloom.session import shared_dir
 from ledgerloom.sources.sinks import read_version
 from ledgerloom.streaming.ingest import stream_ingest, stream_upsert_rates
@@ -24,7 +24,7 @@ def stream_exports(t: Tables):
     # The second start finds nothing new.
     for _ in range(2):
         stream_ingest(t.spark, inbox, raw, entries, state, SOURCE, as_of()).awaitTermination()
-    loaded = t.spark.read.parquet(entries).filter("status = 'loaded'")
+    loaded = read_version(t.spark, entries, FILE_REGISTRY)[0].filter("status = 'loaded'")
     rows = t.spark.read.parquet(raw)
     known = loaded.select("ingestion_id", F.lit(True).alias("is_registered"))
     return rows.join(known, "ingestion_id", "left").select(*_TEXT, "is_registered")
@@ -36,7 +36,7 @@ def stream_exports(t: Tables):
            arg_max(quote_amount, wave) AS quote_amount
     FROM (SELECT *, 1 AS wave FROM ({_CLEAN}) WHERE raw_id % 2 = 0
           UNION ALL SELECT * REPLACE ({_NEW_AMOUNT} AS quote_amount), 2 FROM ({_CLEAN})
-          WHERE raw_id % 3 <> 2)
+          WHERE raw_id % 3 <> 2 OR raw_id % 2 = 1)
     GROUP BY rate_date, base_currency
 """)
 def stream_rates(t: Tables):
@@ -44,7 +44,7 @@ def stream_rates(t: Tables):
     catalog = t.stored(_catalog(t), "codes")
     waves = (
         t.raw_rates.filter("raw_id % 2 = 0"),
-        t.raw_rates.filter("raw_id % 3 <> 2").withColumn("quote_amount", F.expr(_NEW_AMOUNT)),
+        t.raw_rates.filter("raw_id % 3 <> 2 OR raw_id % 2 = 1").withColumn("quote_amount", F.expr(_NEW_AMOUNT)),
     )
     # The second wave overlaps the first and corrects some of its rates.
     for rows in waves:

@@ -45,21 +45,26 @@ def convert_amount(
 ) -> Column:
     """Convert through the pivot currency; NULL wherever a needed rate is missing or zero.
 
-    ``numeric="double"`` computes in binary floating point, for engines that have no
-    decimal division to compare with.
+    Decimal results are exact: amounts of up to 16 and rates of up to 7 digits before the point
+    give a product that fits whole, and the quotient is rounded once, half away from zero. A
+    value with more digits is an error. ``numeric="double"`` computes in binary floating point.
     """
     if numeric == "double":
         amount, currency_rate, target_rate = (
             c.cast("double") for c in (amount, currency_rate, target_rate)
         )
-        result, zero = "double", F.lit(0.0)
+        result = exact = "double"
     else:
-        result, zero = CONVERTED, F.lit(0).cast(RATE)
-    divisor = F.nullif(target_rate, zero)
-    in_pivot = F.when(currency == pivot, amount).otherwise(amount * currency_rate)
+        amount = amount.cast("decimal(18,2)")
+        currency_rate, target_rate = (c.cast("decimal(19,12)") for c in (currency_rate, target_rate))
+        result, exact = CONVERTED, "decimal(38,14)"
+    divisor = F.nullif(target_rate, F.lit(0).cast("double" if numeric == "double" else "decimal(19,12)"))
+    product = (amount * currency_rate).cast(exact)
+    # Both branches have one type, so neither is rounded to fit the other.
+    in_pivot = F.when(currency == pivot, amount.cast(exact)).otherwise(product)
     return (
         F.when(currency == target, amount.cast(result))
-        .when(target == pivot, (amount * currency_rate).cast(result))
+        .when(target == pivot, product.cast(result))
         .otherwise((in_pivot / divisor).cast(result))
     )
 

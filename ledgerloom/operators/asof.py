@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.joins import MAX_BROADCAST_ROWS, is_small, lookup_join, salted
 
 INTERVAL_BUCKET_DAYS = 32
+ROWS_PER_SALT = 2_000_000
 STRATEGIES = ("auto", "interval", "dense", "union")
 
 
@@ -88,16 +89,24 @@ def _bucketed_spans(points, by, right_time, values, bucket_days):
     ), last
 
 
-def _interval(left, spans, last, by, left_time, right_type, values, bucket_days):
+def _interval(left, spans, last, by, left_time, right_type, values, bucket_days, small):
     """Range join with an equality on a time bucket, so a row meets the few intervals of its
-    key and bucket and not all of its key."""
+    key and bucket and not all of its key. Many intervals are joined by a shuffle on key, bucket
+    and salt, so that neither a hot key nor a busy bucket is one task."""
     at = F.col(left_time).cast(right_type)
     bucket = F.least(_day_bucket(F.col(left_time), bucket_days), F.lit(last))
-    match = (bucket == F.col("_r_bucket")) & (at >= F.col("_from")) \
-        & (F.col("_to").isNull() | (at < F.col("_to")))
+    rows = left
+    if small:
+        spans = F.broadcast(spans)
+        match = bucket == F.col("_r_bucket")
+    else:
+        rows, spans = salted(left, spans)
+        spans = spans.withColumnRenamed("_salt", "_r_salt")
+        match = (bucket == F.col("_r_bucket")) & (F.col("_salt") == F.col("_r_salt"))
+    match = match & (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
     for k in by:
         match = match & (F.col(k) == F.col(f"_r_{k}"))
-    return left.join(F.broadcast(spans), match, "left").select(*left.columns, *values)
+    return rows.join(spans, match, "left").select(*left.columns, *values)
 
 
 def _dense(left, points, by, left_time, right_time, values, max_broadcast_rows):
@@ -174,16 +183,17 @@ def asof_join(
     tie_break: str | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     bucket_days: int = 366,
-    salts: int = 8,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join each row to the last right row of its key at or before its time.
 
     - ``dense``: the right side, kept by date, is filled to one row per key and day and
       joined on equality.
-    - ``interval``: the right side becomes validity intervals, cut at time buckets and
-      broadcast; refused when it is too large for that.
+    - ``interval``: the right side becomes validity intervals, cut at time buckets; few of
+      them are broadcast, many are joined by a shuffle.
     - ``union``: for a right side that is large or kept by timestamp; both sides are sorted
-      together within key, time bucket and salt.
+      together within key, time bucket and salt. The number of salts follows from that of the
+      left rows unless given.
     - ``auto``: ``dense`` for dates, else ``interval`` if the right side is small, else
       ``union``.
     """
@@ -196,14 +206,13 @@ def asof_join(
         if not by_date:
             raise ValueError("the dense strategy needs a right side kept by date")
         return _dense(left, points, by, left_time, right_time, values, max_broadcast_rows)
-    if strategy in ("auto", "interval"):
-        # Points are counted first, so that only few are cut into buckets, then the result.
-        if is_small(points, max_broadcast_rows):
-            spans, last = _bucketed_spans(points, by, right_time, values, INTERVAL_BUCKET_DAYS)
-            if is_small(spans, max_broadcast_rows):
-                right_type = points.schema[right_time].dataType
-                return _interval(left, spans, last, by, left_time, right_type, values,
-                                 INTERVAL_BUCKET_DAYS)
-        if strategy == "interval":
-            raise ValueError("the right side is too large to broadcast; use dense or union")
+    if strategy == "interval" or (strategy == "auto" and is_small(points, max_broadcast_rows)):
+        spans, last = _bucketed_spans(points, by, right_time, values, INTERVAL_BUCKET_DAYS)
+        small = is_small(spans, max_broadcast_rows)
+        if small or strategy == "interval":
+            right_type = points.schema[right_time].dataType
+            return _interval(left, spans, last, by, left_time, right_type, values,
+                             INTERVAL_BUCKET_DAYS, small)
+    if salts is None:
+        salts = max(1, -(-left.count() // ROWS_PER_SALT))
     return _union(left, points, by, left_time, right_time, values, bucket_days, salts)

@@ -6,14 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+SURELY_SMALL_BYTES = 8 << 20
 SALTS = 32
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's upper estimate of a relation's size; starts no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a relation has at most ``max_rows`` rows.
+    """Whether a relation is known to be small or has at most ``max_rows`` rows.
 
-    It is counted: that sends one number per task, where a limit would send rows to one task.
+    Relations estimated below ``SURELY_SMALL_BYTES`` are not counted. Others are: that sends one
+    number per task, where a limit would send rows to one task.
     """
+    if max_rows >= MAX_BROADCAST_ROWS and estimated_bytes(df) <= SURELY_SMALL_BYTES:
+        return True
     return df.count() <= max_rows
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import is_blank
-from ledgerloom.operators.joins import lookup_join
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], count: str = "n_records") -> DataFrame:
@@ -41,7 +40,8 @@ def missing_in_dim(
         keys = keys.filter(~is_blank(F.col(name)))
     keys = keys.select(*(value(c).alias(c) for c in columns)).distinct()
     known = dim.select(*(value(d).alias(c) for c, d in columns.items())).distinct()
-    return lookup_join(keys, known, list(columns), "left_anti")
+    # Both sides are distinct, so no key is hot.
+    return keys.join(known, list(columns), "left_anti")
 
 
 def split_to_rows(df: DataFrame, column: str, out: str, pattern: str = ",") -> DataFrame:
@@ -52,8 +52,11 @@ def split_to_rows(df: DataFrame, column: str, out: str, pattern: str = ",") -> D
 
 
 def else_default_row(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
-    """The relation, or one default row if it is empty (columns not named are NULL)."""
-    empty = df.limit(1).agg(F.count("*").alias("_rows")).filter("_rows = 0")
+    """The relation, or one default row if it is empty (columns not named are NULL).
+
+    The relation is read twice; store it first if it is costly.
+    """
+    empty = df.select(F.lit(1)).limit(1).agg(F.count("*").alias("_rows")).filter("_rows = 0")
     row = empty.select(*(
         defaults.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema
     ))

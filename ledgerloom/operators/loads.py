@@ -26,7 +26,7 @@ def load_rank(loads: DataFrame, keys: list[str] = LOAD_KEY, upto: int | None = N
     """
     if upto is not None:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first()))
-        return loads.withColumn("load_rank", rank).filter(F.col("load_rank") <= upto)
+        return loads.withColumn("load_rank", rank.cast("long")).filter(F.col("load_rank") <= upto)
     # Loads without an end share no hour; they are ranked by id and cut by that.
     block = F.when(F.col("finished_at").isNull(), F.floor(F.col("ingestion_id") / ID_BLOCK))
     parts = [*keys, "_hour", "_block"]
@@ -42,7 +42,7 @@ def load_rank(loads: DataFrame, keys: list[str] = LOAD_KEY, upto: int | None = N
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in parts])
     in_part = F.row_number().over(Window.partitionBy(*parts).orderBy(*newest_first()))
     return dated.withColumn("_rank", in_part).join(counts, same).select(
-        *loads.columns, (F.col("_rank") + F.col("_later")).cast("int").alias("load_rank")
+        *loads.columns, (F.col("_rank") + F.col("_later")).cast("long").alias("load_rank")
     )
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +44,7 @@ def load_latest_export(
     def move(entries: DataFrame, version: int, status: str, rows=None, error=None):
         event = spark.range(1).select(
             F.lit(ingestion_id).alias("ingestion_id"), F.lit(status).alias("status"),
-            as_of.cast("timestamp").alias("event_ts"), F.lit(rows).cast("int").alias("rows_loaded"),
+            as_of.cast("timestamp").alias("event_ts"), F.lit(rows).cast("long").alias("rows_loaded"),
             F.lit(error).cast("string").alias("error_message"),
         )
         moved = registry.registry_transition(entries, event)
@@ -90,16 +94,15 @@ def load_exchange_rates(
         .filter(F.col("_day").between(F.col("start_date"), F.col("end_date")))
     )
     typed = fetched.select("source", "base_currency", F.col("_day").alias("rate_date"))
-    empty = [row.currency_code for row in rates.empty_first_loads(due, typed).take(10)]
-    if empty:
-        raise ValueError("no rates for new currencies: " + ", ".join(sorted(empty)))
+    rates.refuse(rates.empty_first_loads(due, typed), "no rates for new currencies")
     touched = {
         "raw_id": F.coalesce("raw_id", F.xxhash64("source", "rate_date", "base_currency",
                                                   "quote_currency")),
         "ingested_at": as_of.cast("timestamp"), "ingested_by": F.lit(loaded_by),
     }
-    merged = rates.upsert_changed(table, fetched.select(*RAW_RATE_TEXT), touched=touched,
-                                  order=RATE_PAYLOAD).persist()
+    # Of several documents with one date the one written last counts.
+    merged = rates.upsert_changed(table, fetched.select(*RAW_RATE_TEXT, "_modified"),
+                                  ["_modified", *RATE_PAYLOAD], touched=touched).persist()
     changed = merged.filter(F.col("change") != "none")
     sinks.write_version(merged.drop("change"), table_path, table_version + 1)
     moved = rates.rate_state(state, due, typed, changed, end, as_of)
@@ -113,12 +116,13 @@ CHECK_KEY = ["target_name", "invocation_id", "unique_id"]
 
 
 def log_checks(
-    results: DataFrame, path: str, target: str, invocation: str, as_of: Column
+    results: DataFrame, path: str, target: str, invocation: str, as_of: Column,
+    seconds: float | None = None,
 ) -> None:
     """Keep check results: a history where a repeated invocation adds nothing, and the
     current results of each target, which replace its earlier ones."""
     spark = results.sparkSession
-    logged = suite.log_results(results, target, invocation, as_of).persist()
+    logged = suite.log_results(results, target, invocation, as_of, seconds).persist()
     history = sinks.read_table(spark, f"{path}/history", logged.schema)
     sinks.insert_ignore(history, logged, CHECK_KEY, ["logged_at"]) \
         .write.mode("append").partitionBy("target_name").parquet(f"{path}/history")
@@ -145,24 +149,32 @@ _MART_PARTITIONS = ["period_grain", "target_currency"]
 def build_layers(
     raw: DataFrame, entries: DataFrame, raw_rates: DataFrame, reference: Reference,
     source: tuple[str, str, str], as_of: Column, path: str, prefix: str = "",
-    stop_on_error: bool = True,
+    stop_on_error: bool = True, target: str = "default", invocation: str | None = None,
 ) -> dict[str, DataFrame]:
     """Staging views, core and mart tables, monitoring and check results, by name.
 
     Each table is written once and read by the layers above it. Core checks run before the
-    marts are built; one that fails with severity error stops the build.
+    marts are built; one that fails with severity error stops the build. Results are kept under
+    ``path/checks`` for this ``invocation`` before a failure is raised.
     """
     layers: dict[str, DataFrame] = {}
+    invocation = invocation or uuid.uuid4().hex
+    so_far: list[DataFrame] = []
 
     def keep(name: str, df: DataFrame, kind: str = "table", by: list[str] = ()) -> DataFrame:
         layers[name] = sinks.materialize(df, prefix + name, kind, f"{path}/{name}", by)
         return layers[name]
 
-    def check(run: suite.Suite) -> DataFrame:
-        results = run.run()
+    def check(run: suite.Suite) -> None:
+        start = time.monotonic()
+        results = run.run().persist()
+        results.count()
+        so_far.append(results)
+        # All results of this invocation are the target's current ones.
+        log_checks(reduce(DataFrame.unionByName, so_far), f"{path}/checks", target, invocation,
+                   as_of, time.monotonic() - start)
         if stop_on_error:
             suite.enforce(results)
-        return results
 
     staged = keep("stg_fact_transaction", stg_transactions(raw, entries, *source), "view")
     staged_rates = keep("stg_exchange_rate", stg_rates(raw_rates), "view")
@@ -175,7 +187,9 @@ def build_layers(
         "recurring_expense_tag": reference.recurring,
         "reserve_funded_expense_tag": reference.reserve_funded,
     }, raw)
-    results = [check(run)]
+    if reference.accounts_demo is not None:
+        run = suite.seed_checks(run, reference.accounts_demo, {}, raw, "seed_dim_accounts_demo")
+    check(run)
 
     day = as_of.cast("date")
     tags = (reference.recurring, reference.reserve_funded)
@@ -183,21 +197,29 @@ def build_layers(
                  by=_MART_PARTITIONS)
     balances = keep("dm_account_balance", marts.balance_mart(ledger, rate_table, day),
                     by=_MART_PARTITIONS)
-    results.append(check(suite.mart_checks(suite.Suite(), facts, balances, rate_table)))
+    check(suite.mart_checks(suite.Suite(), facts, balances, rate_table))
     if reference.masks is not None:
         masked = (reference.accounts, reference.accounts_demo, reference.masks)
-        results.append(check(suite.mask_checks(suite.Suite(), ledger, reference.masks)))
+        check(suite.mask_checks(suite.Suite(), ledger, reference.masks))
         facts = keep("dm_demo_fact_transaction", marts.fact_mart_masked(
             ledger, rate_table, *tags, *masked), by=_MART_PARTITIONS)
         balances = keep("dm_demo_account_balance", marts.balance_mart_masked(
             ledger, rate_table, *masked, day), by=_MART_PARTITIONS)
-        results.append(check(suite.mart_checks(
-            suite.Suite(), facts, balances, rate_table, layer="dm_demo")))
+        check(suite.mart_checks(suite.Suite(), facts, balances, rate_table, layer="dm_demo"))
     freshness = keep("infra_data_quality_freshness", monitoring.freshness(entries, as_of), "view")
     volume = keep("infra_data_volume_monitoring", monitoring.volume_monitoring(entries, as_of))
-    results.append(check(suite.monitoring_checks(suite.Suite(), freshness, volume)))
-    combined = results[0]
-    for more in results[1:]:
-        combined = combined.unionByName(more)
-    keep("infra_check_results", combined)
+    check(suite.monitoring_checks(suite.Suite(), freshness, volume))
+    keep("infra_check_results", reduce(DataFrame.unionByName, so_far))
+    for results in so_far:
+        results.unpersist()
     return layers
+
+
+def run_all(
+    load_exports: Callable[[], str], load_rates: Callable[[], str],
+    build: Callable[[], dict[str, DataFrame]],
+) -> dict[str, DataFrame] | None:
+    """One whole run: exports, then rates (which ask for the ledger's dates), then the layers,
+    unless neither brought anything new."""
+    outcomes = [load_exports(), load_rates()]
+    return None if all(o == "skipped" for o in outcomes) else build()

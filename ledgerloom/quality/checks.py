@@ -51,7 +51,7 @@ def active_tags_exist(dictionary: DataFrame, raw: DataFrame, tags: str = "tags")
     seen = split_to_rows(raw, tags, "tag")
     wanted = filter_active(dictionary, "is_active").select(F.btrim("tag").alias("tag")) \
         .filter(F.col("tag") != "")
-    return lookup_join(wanted, seen, ["tag"], "left_anti")
+    return wanted.join(seen, "tag", "left_anti")
 
 
 def accounts_in_dim(ledger: DataFrame, accounts: DataFrame) -> DataFrame:

@@ -92,8 +92,14 @@ def enforce(results: DataFrame) -> None:
         raise ValueError("checks failed: " + "; ".join(lines))
 
 
-def log_results(results: DataFrame, target: str, invocation: str, as_of: Column) -> DataFrame:
-    """Results in the shape of the result history: key (target, invocation, unique_id)."""
+def log_results(
+    results: DataFrame, target: str, invocation: str, as_of: Column, seconds: float | None = None
+) -> DataFrame:
+    """Results in the shape of the result history: key (target, invocation, unique_id).
+
+    ``seconds`` is what the run of all these checks took; they run in one pass per table.
+    """
+    message = F.when(F.col("failures") > 0, F.concat(F.col("failures").cast("string"), F.lit(" failing rows")))
     return results.select(
         F.lit(target).alias("target_name"),
         F.lit(invocation).alias("invocation_id"),
@@ -101,6 +107,7 @@ def log_results(results: DataFrame, target: str, invocation: str, as_of: Column)
         "test_name",
         F.col("model_name").alias("model_unique_id"),
         "status", "severity", "failures",
+        F.lit(seconds).cast("decimal(18,3)").alias("execution_time_s"), message.alias("message"),
         as_of.cast("timestamp").alias("logged_at"),
     )
 

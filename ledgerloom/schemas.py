@@ -101,7 +101,7 @@ FILE_REGISTRY = T.StructType([
     T.StructField("file_size_bytes", T.LongType()),
     T.StructField("file_checksum", T.StringType()),
     T.StructField("status", T.StringType()),
-    T.StructField("rows_loaded", T.IntegerType()),
+    T.StructField("rows_loaded", T.LongType()),
     T.StructField("error_message", T.StringType()),
     T.StructField("discovered_at", T.TimestampType()),
     T.StructField("started_at", T.TimestampType()),
@@ -119,6 +119,6 @@ RATE_STATE = T.StructType([
     T.StructField("last_checked_at", T.TimestampType()),
     T.StructField("last_requested_through", T.DateType()),
     T.StructField("last_rate_date", T.DateType()),
-    T.StructField("last_rows_affected", T.IntegerType()),
+    T.StructField("last_rows_affected", T.LongType()),
     T.StructField("updated_at", T.TimestampType()),
 ])

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.schemas import EXPORT_COLUMNS
 
-SMALL_FILE_BYTES = 64 * 1024 * 1024
+CHECKSUM_PRIME = 2 ** 61 - 1
 
 
 def export_options(
@@ -28,6 +28,56 @@ def require_columns(found: list[str], columns: dict[str, str] = EXPORT_COLUMNS)
         raise ValueError("export lacks columns: " + ", ".join(missing))
 
 
+def split_records(
+    spark: SparkSession, path: str | list[str], delimiter: str = ",", quote: str = '"',
+) -> DataFrame:
+    """Rows of UTF-8 exports as text, one column per header and ``source_file``, read in splits.
+
+    A line begins a record if an even number of quotes comes before it in its file. Quotes are
+    counted per split first, so each split knows with which parity it begins; lines that continue
+    a record are then put behind the line that begins it, in another split if need be. Doubled
+    quotes inside a value leave the parity as it is. All files must have the columns of the first.
+    """
+    headers = spark.read.options(**export_options("UTF-8", delimiter, quote)).csv(path).columns
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_n"), "value",
+    ).withColumn("_quotes", F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit(""))))
+    # One row per split.
+    earlier = Window.partitionBy("source_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    begins = lines.groupBy("source_file", "_at").agg(F.sum("_quotes").alias("_all")).select(
+        "source_file", "_at", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_before"))
+    in_split = Window.partitionBy("source_file", "_at").orderBy("_n")
+    so_far = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    own = F.struct("_at", "_n")
+    marked = (
+        lines.join(begins, ["source_file", "_at"])
+        .withColumn("_start", (F.col("_before") + F.coalesce(F.sum("_quotes").over(so_far), F.lit(0))) % 2 == 0)
+        .withColumn("_record", F.last(F.when(F.col("_start"), own), ignorenulls=True).over(
+            in_split.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    # Lines ahead of a split's first record belong to the last record that began before it.
+    last = marked.groupBy("source_file", "_at").agg(F.max("_record").alias("_last"))
+    carried = last.select("source_file", "_at", F.last("_last", ignorenulls=True).over(earlier).alias("_open"))
+    whole = (
+        marked.join(carried, ["source_file", "_at"])
+        .withColumn("_record", F.coalesce("_record", "_open"))
+        .groupBy("source_file", "_record")
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "_n", "value"))).alias("_lines"))
+        .withColumn("_text", F.array_join(F.transform("_lines", lambda part: part["value"]), "\n"))
+        .withColumn("_text", F.regexp_replace("_text", r"\r\z", ""))
+    )
+    schema = ", ".join(f"`{h}` STRING" for h in headers)
+    parsed = F.from_csv("_text", schema, {"sep": delimiter, "quote": quote, "escape": quote})
+    header_line = (F.col("_record._at") == 0) & (F.col("_record._n") == F.col("_header"))
+    heads = lines.filter("_at = 0").groupBy("source_file").agg(F.min("_n").alias("_header"))
+    return (
+        whole.join(heads, "source_file").filter(~header_line & (F.col("_text") != ""))
+        .select("source_file", parsed.alias("_row")).select("source_file", "_row.*")
+    )
+
+
 def read_ledger_export(
     spark: SparkSession,
     path: str,
@@ -36,21 +86,27 @@ def read_ledger_export(
     quote: str = '"',
     columns: dict[str, str] = EXPORT_COLUMNS,
     multiline: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """Read exports as text under their raw column names, with the name of each row's file.
 
     Values stay as they are and other columns are dropped; a missing column or an export
     without rows is an error. ``multiline`` allows line breaks inside quoted values, at the
-    price of one task per file; turn it off for large files without such values.
+    price of one task per file; ``split`` allows them too and reads a UTF-8 file in as many tasks
+    as it has splits, at the price of a shuffle.
     """
-    options = export_options(encoding, delimiter, quote, multiline)
-    export = spark.read.options(**options).csv(path)
+    if split:
+        export = split_records(spark, path, delimiter, quote)
+        source = F.col("source_file")
+    else:
+        export = spark.read.options(**export_options(encoding, delimiter, quote, multiline)).csv(path)
+        source = F.col("_metadata.file_path").alias("source_file")
     require_columns(export.columns, columns)
     if export.isEmpty():
         raise ValueError("export has no data rows")
     return export.select(
         *(F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(raw) for name, raw in columns.items()),
-        F.col("_metadata.file_path").alias("source_file"),
+        source,
     )
 
 
@@ -76,34 +132,52 @@ def latest_file_path(spark: SparkSession, path: str, pattern: str = "*") -> str:
     return found
 
 
-def file_metadata(
-    spark: SparkSession, path: str, pattern: str = "*", small_file_bytes: int = SMALL_FILE_BYTES
-) -> DataFrame:
-    """Path, size and checksum per file.
+def file_metadata(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
+    """Path, size and checksum per file, by one definition at every size; ``_file`` is the path as
+    file metadata has it.
 
-    A small file gets the MD5 of its content. A larger one is not held whole by any task:
-    its lines are hashed where they are read, and count and sum of the hashes identify it.
+    Lines end at a line feed and are hashed as bytes. The checksum covers size, number of lines,
+    and for two hashes their sum and the sum of hash times line number, modulo a prime. So it sees
+    every byte and the order of lines; tasks read splits of a file, and how it was split does not
+    matter: numbers within a split are shifted by the lines before it afterwards.
     """
-    files = spark.read.format("binaryFile").options(
-        recursiveFileLookup=True, pathGlobFilter=pattern
-    ).load(path)
-    small = files.filter(F.col("length") <= small_file_bytes).select(
-        "path", F.col("length").alias("file_size_bytes"),
-        F.md5("content").alias("file_checksum"),
+    options = {"recursiveFileLookup": True, "pathGlobFilter": pattern}
+    files = spark.read.format("binaryFile").options(**options).load(path).select(
+        "path", F.col("_metadata.file_path").alias("_file"), "length")
+    wide = "decimal(38,0)"
+
+    def modulo(value: Column) -> Column:
+        return F.pmod(value.cast(wide), F.lit(CHECKSUM_PRIME).cast(wide)).cast("decimal(19,0)")
+
+    digest = F.md5(F.col("value").cast("binary"))
+    parts = {k: F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(19,0)")
+             for k, at in (("a", 1), ("b", 16))}
+    number = F.monotonically_increasing_id()
+    lines = spark.read.options(**options).option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"),
+        number.alias("_n"), *(h.alias(f"_{k}") for k, h in parts.items()),
+    )
+    splits = lines.groupBy("_file", "_at").agg(
+        F.min("_n").alias("_first"), F.count("*").alias("_lines"),
+        *(F.sum(f"_{k}").cast(wide).alias(f"_sum_{k}") for k in parts),
+        *(F.sum(modulo(F.col("_n").cast("decimal(19,0)") * F.col(f"_{k}"))).cast(wide)
+          .alias(f"_by_n_{k}") for k in parts),
     )
-    large = files.filter(F.col("length") > small_file_bytes).select("path", "length")
-    lines = spark.read.options(recursiveFileLookup=True, pathGlobFilter=pattern).text(path)
-    sums = (
-        lines.filter(F.col("_metadata.file_size") > small_file_bytes)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
-        .agg(F.count("*").alias("lines"),
-             F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("hashes"))
+    # One row per split of a file: few, however large the file.
+    before = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")
+    shifted = splits.withColumn("_shift", modulo(shift))
+    sums = shifted.groupBy("_file").agg(
+        F.sum("_lines").alias("_lines"),
+        *(modulo(F.sum(f"_sum_{k}")).alias(f"_s_{k}") for k in parts),
+        *(modulo(F.sum(modulo(F.col("_shift") * modulo(F.col(f"_sum_{k}"))) + modulo(F.col(f"_by_n_{k}"))))
+          .alias(f"_w_{k}") for k in parts),
     )
-    checksum = F.concat_ws(":", F.lit("lines"), "lines", F.md5(F.col("hashes").cast("string")))
-    return small.unionByName(
-        large.join(sums, "path", "left").select(
-            "path", F.col("length").alias("file_size_bytes"), checksum.alias("file_checksum")
-        )
+    facts = [F.col("length"), F.coalesce("_lines", F.lit(0)),
+             *(F.coalesce(f"_{kind}_{k}", F.lit(0).cast("decimal(19,0)")) for k in parts for kind in "sw")]
+    return files.join(sums, "_file", "left").select(
+        "path", "_file", F.col("length").alias("file_size_bytes"),
+        F.md5(F.concat_ws(":", *(f.cast("string") for f in facts)).cast("binary")).alias("file_checksum"),
     )
 
 

@@ -48,10 +48,11 @@ def rate_rows(
 def read_rates_xml(
     spark: SparkSession, path: str, catalog: DataFrame, source: str = "cbr"
 ) -> DataFrame:
-    """Text rate rows from XML documents kept in one folder ``currency=XXX`` per currency."""
+    """Text rate rows from XML documents kept in one folder ``currency=XXX`` per currency, with the
+    time each row's document was written (``_modified``)."""
     records = spark.read.format("xml").option("rowTag", "Record").schema(
         RECORD_SCHEMA + ", currency STRING"
-    ).load(path)
+    ).load(path).select("*", F.col("_metadata.file_modification_time").alias("_modified"))
     return rate_rows(records, catalog, source)
 
 
@@ -70,20 +71,26 @@ def unknown_currencies(requested: DataFrame, catalog: DataFrame) -> DataFrame:
                        "left_anti")
 
 
+def refuse(currencies: DataFrame, problem: str, named: int = 10) -> None:
+    """Fail if there are any currencies, naming the first few and saying how many there are."""
+    first = [r.currency_code for r in currencies.orderBy("currency_code").limit(named + 1).collect()]
+    if first:
+        more = "" if len(first) <= named else f" and others, {currencies.count()} in all"
+        raise ValueError(f"{problem}: " + ", ".join(first[:named]) + more)
+
+
 def require_known(requested: DataFrame, catalog: DataFrame) -> None:
-    """Fail, with the first few of them, if the catalog lacks a requested currency."""
-    missing = [row.currency_code for row in unknown_currencies(requested, catalog).take(10)]
-    if missing:
-        raise ValueError("currencies not in the catalog: " + ", ".join(sorted(missing)))
+    """Fail if the catalog lacks a requested currency."""
+    refuse(unknown_currencies(requested, catalog), "currencies not in the catalog")
 
 
 def upsert_changed(
     existing: DataFrame,
     incoming: DataFrame,
+    order: list[str],
     keys: list[str] = RATE_KEY,
     payload: list[str] = RATE_PAYLOAD,
     touched: dict[str, Column] | None = None,
-    order: list[str] | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Merge incoming rows by key; ``change`` says insert, update or none for every row.
@@ -95,7 +102,7 @@ def upsert_changed(
     """
     touched = touched or {}
     fresh = incoming.groupBy(*keys).agg(
-        F.max_by(F.struct(*payload), F.struct(*(order or payload))).alias("_new")
+        F.max_by(F.struct(*payload), F.struct(*order)).alias("_new")
     )
     differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_new.{c}")) for c in payload])
     known = F.col("_old")
@@ -187,7 +194,7 @@ def rate_state(
         value(as_of.cast("timestamp"), "last_checked_at"),
         value(end_date, "last_requested_through"),
         value(F.greatest("last_rate_date", "_fetched"), "last_rate_date"),
-        value(F.coalesce("_rows", F.lit(0)).cast("int"), "last_rows_affected"),
+        value(F.coalesce("_rows", F.lit(0)).cast("long"), "last_rows_affected"),
         value(as_of.cast("timestamp"), "updated_at"),
     )
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import truncate_text
-from ledgerloom.operators.joins import lookup_join
 
 FILE_KEY = ["s3_bucket", "s3_key"]
 
@@ -14,7 +13,7 @@ FILE_KEY = ["s3_bucket", "s3_key"]
 def new_files(listing: DataFrame, registry: DataFrame) -> DataFrame:
     """Listed files without a loaded entry; pending, processing and failed ones come again."""
     loaded = registry.filter(F.col("status") == "loaded").select(*FILE_KEY).distinct()
-    return lookup_join(listing, loaded, FILE_KEY, "left_anti")
+    return listing.join(loaded, FILE_KEY, "left_anti")
 
 
 def register_files(listing: DataFrame, registry: DataFrame, as_of: Column) -> DataFrame:
@@ -24,7 +23,7 @@ def register_files(listing: DataFrame, registry: DataFrame, as_of: Column) -> Da
     a hash of their key, however many lie in one folder; only the sizes of the parts, which
     are at most 4096, are summed up in one task.
     """
-    unknown = lookup_join(listing, registry.select(*FILE_KEY).distinct(), FILE_KEY, "left_anti")
+    unknown = listing.join(registry.select(*FILE_KEY), FILE_KEY, "left_anti")
     parts = unknown.withColumn("_part", F.left(F.md5(F.col("s3_key").cast("binary")), F.lit(3)))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.groupBy("_part").agg(F.count("*").alias("_files")) \

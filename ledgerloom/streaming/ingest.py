@@ -2,43 +2,32 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
-from ledgerloom.schemas import EXPORT_COLUMNS, RATE_PAYLOAD, RATE_TABLE, RAW_RATE_TEXT
-from ledgerloom.sources.exports import export_options, require_columns, with_provenance
+from ledgerloom.schemas import (
+    EXPORT_COLUMNS, FILE_REGISTRY, RATE_PAYLOAD, RATE_TABLE, RAW_RATE_TEXT,
+)
+from ledgerloom.sources.exports import export_options, file_metadata, with_provenance
 from ledgerloom.sources.rates import RECORD_SCHEMA, rate_rows, upsert_changed
+from ledgerloom.sources.registry import register_files, registry_transition
 from ledgerloom.sources.sinks import read_version, write_partitions, write_version
 
 MAX_FILES = 1000
-BATCH_STRIDE = 1_000_000
-
 
-def stream_exports(
-    spark: SparkSession, inbox: str, files_per_batch: int = MAX_FILES, multiline: bool = True
-) -> DataFrame:
-    """Streaming read of export files with path and modification time of each row's file.
 
-    The columns come from the header of a file that is there when the stream starts; a file
-    with other columns stops it.
-    """
-    options = export_options(multiline=multiline)
-    headers = spark.read.options(**options).csv(inbox).columns
-    require_columns(headers)
-    schema = StructType()
-    for header in headers:
-        schema = schema.add(header, "string")
-    lines = spark.readStream.schema(schema).options(
-        **options, maxFilesPerTrigger=files_per_batch
-    ).csv(inbox)
-    return lines.select(
-        *(F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(raw) for h, raw in EXPORT_COLUMNS.items()),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("_modified"),
-        F.col("_metadata.file_size").alias("_size"),
-    )
+def _headers(spark: SparkSession, paths: list[str], delimiter: str = ",", quote: str = '"') -> DataFrame:
+    """Column names in the first line of each file, read from the first split of it."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("s3_key"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_n"), "value",
+    ).filter("_at = 0")
+    first = lines.groupBy("s3_key").agg(F.min_by("value", "_n").alias("_first"))
+    names = F.split(F.replace("_first", F.lit(quote), F.lit("")), f"[{delimiter}]")
+    return first.select("s3_key", F.transform(names, F.btrim).alias("headers"))
 
 
 def stream_ingest(
@@ -52,46 +41,81 @@ def stream_ingest(
     loaded_by: str = "ledgerloom",
     files_per_batch: int = MAX_FILES,
     multiline: bool = True,
+    pattern: str = "*.csv",
 ) -> StreamingQuery:
     """Land all new export files as raw batches, one ingestion id per file, then stop.
 
-    Ids follow from the number of the micro-batch and the order of its files, and both
-    writes replace what an interrupted attempt at the same micro-batch left behind, so a
-    file lands exactly once. The registry is written last: rows without a loaded entry are
-    never read.
+    The stream is one of files, so that files without rows are seen too. Files are entered in the
+    same registry, by the same functions, as those of single loads. A file that lacks a column or
+    has no rows is marked ``failed`` and passed over. A micro-batch writes the registry version that
+    bears its own number, built from the version before, and raw partitions are replaced, so one
+    that is repeated gives the same tables. The registry is written last: rows without a loaded
+    entry are never read.
     """
-    if not 0 < files_per_batch < BATCH_STRIDE:
-        raise ValueError(f"files_per_batch must lie between 1 and {BATCH_STRIDE - 1}")
+    if files_per_batch < 1:
+        raise ValueError("files_per_batch must be at least 1")
     system, name, table = source
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        # At most files_per_batch rows, so one task may number them.
-        files = batch.groupBy("source_file", "_modified", "_size") \
-            .agg(F.count("*").cast("int").alias("rows_loaded"))
-        numbered = files.selectExpr(
-            "*", f"{batch_id * BATCH_STRIDE} + row_number() OVER "
-            "(ORDER BY _modified, source_file) AS ingestion_id"
-        ).persist()
-        ids = F.broadcast(numbered.select("source_file", "ingestion_id"))
-        rows = batch.drop("_modified", "_size").join(ids, "source_file")
-        write_partitions(
-            with_provenance(rows, F.col("ingestion_id"), as_of, loaded_by),
-            raw_path, ["ingestion_id"],
-        )
-        entries = numbered.select(
-            F.lit(batch_id).alias("micro_batch"),
-            F.col("ingestion_id").cast("long"),
+        session = batch.sparkSession
+        paths = [r.s3_key for r in batch.select("s3_key").collect()]  # at most files_per_batch
+        if not paths:
+            return
+        entries, _ = read_version(session, registry_path, FILE_REGISTRY, below=batch_id + 1)
+        sums = file_metadata(session, paths).select(F.col("_file").alias("s3_key"), "file_checksum")
+        listing = batch.join(sums, "s3_key", "left").select(
+            F.lit(inbox).alias("s3_bucket"), "s3_key", "file_size_bytes", "file_checksum",
             F.lit(system).alias("source_system"), F.lit(name).alias("source_object"),
-            F.lit(table).alias("raw_table"), F.col("source_file").alias("s3_key"),
-            F.col("_size").alias("file_size_bytes"), F.lit("loaded").alias("status"),
-            "rows_loaded", as_of.cast("timestamp").alias("finished_at"),
+            F.lit(table).alias("raw_table"),
         )
-        write_partitions(entries, registry_path, ["micro_batch"])
-        numbered.unpersist()
-
+        known = register_files(listing, entries, as_of).persist()
+        own = known.join(F.broadcast(batch.select("s3_key")), "s3_key", "left_semi") \
+            .filter(F.col("s3_bucket") == inbox)
+        required = F.array(*map(F.lit, EXPORT_COLUMNS))
+        checked = own.select("s3_key", "ingestion_id").join(_headers(session, paths), "s3_key", "left") \
+            .withColumn("missing", F.array_sort(F.array_except(
+                required, F.coalesce("headers", F.array().cast("array<string>"))))).persist()
+        good = checked.filter("size(missing) = 0").select("s3_key", "ingestion_id", "headers").collect()
+        options, counts = export_options(multiline=multiline), []
+        for headers in {tuple(r.headers) for r in good}:
+            files = [r.s3_key for r in good if tuple(r.headers) == headers]
+            lines = session.read.options(**options).csv(files)
+            rows = lines.select(
+                *(F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(c) for h, c in EXPORT_COLUMNS.items()),
+                F.col("_metadata.file_path").alias("source_file"),
+            )
+            ids = F.broadcast(checked.select(F.col("s3_key").alias("source_file"), "ingestion_id"))
+            landed = rows.join(ids, "source_file")
+            write_partitions(with_provenance(landed, F.col("ingestion_id"), as_of, loaded_by),
+                             raw_path, ["ingestion_id"])
+            written = session.read.parquet(raw_path).filter(
+                F.col("ingestion_id").isin([r.ingestion_id for r in good if tuple(r.headers) == headers]))
+            counts.append(written.groupBy("ingestion_id").agg(F.count("*").alias("rows_loaded")))
+        if counts:
+            outcome = checked.join(reduce(DataFrame.unionByName, counts), "ingestion_id", "left")
+        else:
+            outcome = checked.withColumn("rows_loaded", F.lit(None).cast("long"))
+        error = F.when(F.size("missing") > 0, F.concat(F.lit("export lacks columns: "), F.array_join("missing", ", "))) \
+            .when(F.col("rows_loaded").isNull(), "export has no data rows")
+        ends = outcome.select(
+            F.col("ingestion_id").cast("long").alias("ingestion_id"),
+            F.when(error.isNull(), "loaded").otherwise("failed").alias("status"),
+            as_of.cast("timestamp").alias("event_ts"), "rows_loaded", error.alias("error_message"),
+        )
+        starts = ends.select("ingestion_id", F.lit("processing").alias("status"), "event_ts",
+                             F.lit(None).cast("long").alias("rows_loaded"),
+                             F.lit(None).cast("string").alias("error_message"))
+        moved = registry_transition(registry_transition(known, starts), ends)
+        write_version(moved, registry_path, batch_id + 1)
+        checked.unpersist()
+        known.unpersist()
+
+    files = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary"
+    ).options(maxFilesPerTrigger=files_per_batch, pathGlobFilter=pattern).load(inbox).select(
+        F.col("_metadata.file_path").alias("s3_key"), F.col("length").alias("file_size_bytes"))
     return (
-        stream_exports(spark, inbox, files_per_batch, multiline).writeStream
-        .foreachBatch(land).option("checkpointLocation", checkpoint)
+        files.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
@@ -127,8 +151,7 @@ def stream_upsert_rates(
             "raw_id": F.coalesce("raw_id", F.xxhash64(*RAW_RATE_TEXT[:4], "quote_currency")),
             "ingested_at": as_of.cast("timestamp"), "ingested_by": F.lit(loaded_by),
         }
-        merged = upsert_changed(current, incoming, touched=touched,
-                                order=["_modified", *RATE_PAYLOAD])
+        merged = upsert_changed(current, incoming, ["_modified", *RATE_PAYLOAD], touched=touched)
         write_version(merged.drop("change"), table_path, batch_id + 1)
 
     return (

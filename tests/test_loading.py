@@ -1,6 +1,7 @@
 """Files, registry, rates and the build, end to end on small files."""
 
 import csv
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -8,8 +9,9 @@ import fixture as fx
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.plans import monitoring
 from ledgerloom.plans.pipeline import (
-    Reference, build_layers, load_exchange_rates, load_latest_export, log_checks,
+    Reference, build_layers, load_exchange_rates, load_latest_export, log_checks, run_all,
 )
 from ledgerloom.schemas import (
     DIM_ACCOUNTS, EXPORT_COLUMNS, FILE_REGISTRY, RATE_STATE, RATE_TABLE, TAG_DICTIONARY,
@@ -51,16 +53,12 @@ def test_broken_exports(spark, tmp_path):
         exports.read_ledger_export(spark, str(tmp_path / "b.csv"))
 
 
-def test_checksums_small_and_large(spark, tmp_path):
+def test_sizes_and_checksums(spark, tmp_path):
     for name, body in (("a", "x\n" * 10), ("b", "y\n" * 500), ("c", "y\n" * 500)):
         (tmp_path / name).write_text(body)
-    whole = {r.path[-1]: r for r in exports.file_metadata(spark, str(tmp_path)).collect()}
-    split = {r.path[-1]: r for r in
-             exports.file_metadata(spark, str(tmp_path), small_file_bytes=100).collect()}
-    assert {k: r.file_size_bytes for k, r in split.items()} == {"a": 20, "b": 1000, "c": 1000}
-    assert whole["a"].file_checksum == split["a"].file_checksum
-    assert split["b"].file_checksum == split["c"].file_checksum != whole["b"].file_checksum
-    assert split["b"].file_checksum.startswith("lines:500:")
+    got = {r.path[-1]: r for r in exports.file_metadata(spark, str(tmp_path)).collect()}
+    assert {k: r.file_size_bytes for k, r in got.items()} == {"a": 20, "b": 1000, "c": 1000}
+    assert got["b"].file_checksum == got["c"].file_checksum != got["a"].file_checksum
 
 
 def test_seed_with_spaces(spark, tmp_path):
@@ -141,15 +139,14 @@ def test_rates_are_merged_when_due(spark, tmp_path):
     assert {(r.currency_code, str(r.last_rate_date), r.last_rows_affected) for r in moved.collect()} == {
         ("USD", "2026-08-02", 0), ("KGS", "2026-08-01", 0)}
     first = {r.rate_date: r.ingested_at for r in rows.filter("base_currency = 'USD'").collect()}
-    # A later document corrects one rate and adds one.
-    for old in (documents / "currency=USD").iterdir():
-        old.write_text("<ValCurs></ValCurs>")
-    _rate_files(documents, "USD", [("02.08.2026", "1", "91"), ("03.08.2026", "1", "92")])
+    # A later document corrects one rate, downwards and in fewer letters, and adds one.
+    _rate_files(documents, "USD", [("02.08.2026", "1", "9"), ("03.08.2026", "1", "92")])
+    os.utime(documents / "currency=USD" / "1.xml", (2_000_000_000, 2_000_000_000))
     assert load("2026-08-03 12:00:00", "USD") == "loaded"
     rows, _ = sinks.read_version(spark, table, RATE_TABLE)
     got = {r.rate_date: r for r in rows.filter("base_currency = 'USD'").collect()}
     assert {d: r.quote_amount for d, r in got.items()} == {
-        "01.08.2026": "90,5", "02.08.2026": "91", "03.08.2026": "92"}
+        "01.08.2026": "90,5", "02.08.2026": "9", "03.08.2026": "92"}
     assert got["01.08.2026"].ingested_at == first["01.08.2026"] < got["02.08.2026"].ingested_at
     moved, _ = sinks.read_version(spark, state, RATE_STATE)
     assert {r.currency_code: r.last_rows_affected for r in moved.collect()} == {"USD": 2, "KGS": 0}
@@ -174,7 +171,7 @@ def test_upsert_changes_only_what_differs(spark, limit):
     new = spark.createDataFrame([("same", "1"), ("none", None), ("other", "2"), ("fresh", "3"),
                                  ("fresh", "4")], "k string, v string")
     merge = lambda base: rates.upsert_changed(
-        base, new, ["k"], ["v"], {"touched": F.lit("new")}, max_broadcast_rows=limit)
+        base, new, ["v"], ["k"], ["v"], {"touched": F.lit("new")}, max_broadcast_rows=limit)
     once = merge(old)
     assert {tuple(r) for r in once.collect()} == {
         ("same", "1", "old", "none"), ("none", None, "old", "none"), ("other", "2", "new", "update"),
@@ -200,12 +197,115 @@ def test_stream_picks_up_each_file_once(spark, tmp_path):
             write_export(inbox / f"{name}.csv", rows)
         stream_ingest(spark, str(inbox), raw, entries, state, fx.SOURCE, now()).awaitTermination()
         landed = spark.read.parquet(raw)
-        log = spark.read.parquet(entries)
+        log, _ = sinks.read_version(spark, entries, FILE_REGISTRY)
         counts.append((landed.count(), log.count(), log.select("ingestion_id").distinct().count()))
     assert counts == [(5, 1, 1), (6, 2, 2), (6, 2, 2)]
     assert ODD_NOTE["note"] in {r.note for r in landed.collect()}
 
 
+def test_stream_marks_unfit_files_and_feeds_monitoring(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    raw, entries, state = (str(tmp_path / n) for n in ("raw", "registry", "state"))
+    write_export(inbox / "good.csv", fx.BOOKINGS)
+    write_export(inbox / "empty.csv", [])
+    (inbox / "foreign.csv").write_text("Number,Other\n1,2\n")
+    headers = list(EXPORT_COLUMNS)[::-1]
+    with open(inbox / "turned.csv", "w", newline="", encoding="utf-8") as out:
+        csv.writer(out).writerows([headers, [ODD_NOTE.get(EXPORT_COLUMNS[h], "") for h in headers]])
+    for _ in range(2):
+        stream_ingest(spark, str(inbox), raw, entries, state, fx.SOURCE, now()).awaitTermination()
+    log, _ = sinks.read_version(spark, entries, FILE_REGISTRY)
+    got = {os.path.basename(r.s3_key): r for r in log.collect()}
+    assert {n: (r.status, r.rows_loaded) for n, r in got.items()} == {
+        "good.csv": ("loaded", 5), "turned.csv": ("loaded", 1), "empty.csv": ("failed", None),
+        "foreign.csv": ("failed", None)}
+    assert got["empty.csv"].error_message == "export has no data rows"
+    assert got["foreign.csv"].error_message.startswith("export lacks columns: Account, ")
+    assert sorted(r.ingestion_id for r in got.values()) == [1, 2, 3, 4]
+    assert all(r.file_checksum and r.started_at and r.discovered_at for r in got.values())
+    landed = spark.read.parquet(raw)
+    assert landed.count() == 6 and ODD_NOTE["note"] in {r.note for r in landed.collect()}
+    assert monitoring.freshness(log, now()).first().freshness_status == "fresh"
+    assert monitoring.volume_monitoring(log, now()).count() == 1
+
+
+def test_checksums_see_order_and_bytes_and_not_splits(spark, tmp_path):
+    texts = {"a": "x\ny\n" * 900, "b": "y\nx\n" * 900, "c": "x\r\ny\r\n" * 900, "d": "x\ny\n" * 899 + "x\ny",
+             "f": "x\ny\n" * 900, "g": "x\n\ny\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.txt").write_bytes(text.encode())
+
+    def sums():
+        return {os.path.basename(r.path)[0]: r.file_checksum
+                for r in exports.file_metadata(spark, str(tmp_path)).collect()}
+
+    whole = sums()
+    assert whole["a"] == whole["f"] and len(set(whole.values())) == len(texts) - 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+        assert sums() == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_line_breaks_survive_any_split(spark, tmp_path):
+    rows = []
+    for n in range(120):
+        booking = dict(ODD_NOTE, source_number=str(n))
+        booking["note"] = ["plain", "two\nlines", 'a "quoted"\n\n"word"', "x,\r\ny", "", '"'][n % 6] + "é" * (n % 7)
+        rows.append(booking)
+    write_export(tmp_path / "a.csv", rows)
+    write_export(tmp_path / "b.csv", rows[:3])
+    columns = list(EXPORT_COLUMNS.values())
+    want = sorted(tuple(b.get(c, "") for c in columns) for b in rows + rows[:3])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("97b", "1000b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = exports.read_ledger_export(spark, str(tmp_path), split=True).select(*columns).collect()
+            assert sorted(map(tuple, got)) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_the_newest_versions_are_kept_and_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(1, 6):
+        sinks.write_version(spark.createDataFrame([(n,)], "n long"), path, n)
+    assert sinks.versions(spark, path) == [3, 4, 5]
+    table, version = sinks.read_version(spark, path, spark.createDataFrame([], "n long").schema)
+    assert version == 5 and table.first().n == 5
+    assert all("table_version=5" in f for f in table.inputFiles())
+    (tmp_path / "t" / "table_version=6").mkdir()  # a writer that never finished
+    assert sinks.read_version(spark, path, table.schema)[1] == 5
+
+
+def test_failed_checks_are_on_record(spark, tmp_path):
+    names = spark.createDataFrame(fx.accounts(spark).collect()[:3], DIM_ACCOUNTS)
+    reference = Reference(names, fx.tags(spark, ("regular", True)), fx.tags(spark, ("from reserve", True)))
+    with pytest.raises(ValueError, match="accounts_exist_in_dim_accounts: 1"):
+        build_layers(fx.raw(spark), fx.registry(spark), fx.raw_rates(spark), reference, fx.SOURCE,
+                     now(), str(tmp_path / "layers"), prefix="v_", target="dev", invocation="r1")
+    for kind in ("history", "current"):
+        failed = spark.read.parquet(str(tmp_path / "layers" / "checks" / kind)).filter("status = 'fail'").collect()
+        assert [(r.unique_id, r.failures, r.message) for r in failed] == [
+            ("core_fact_transaction.accounts_exist_in_dim_accounts", 1, "1 failing rows")]
+        assert failed[0].execution_time_s > 0
+
+
+def test_a_run_without_news_builds_nothing():
+    calls = []
+
+    def step(name, result):
+        return lambda: calls.append(name) or result
+
+    assert run_all(step("exports", "skipped"), step("rates", "skipped"), step("build", {})) is None
+    assert run_all(step("exports", "skipped"), step("rates", "loaded"), step("build", {"t": 1})) == {"t": 1}
+    assert calls == ["exports", "rates", "exports", "rates", "build"]
+
+
 def test_build_from_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     write_export(tmp_path / "in" / "a.csv", fx.BOOKINGS)

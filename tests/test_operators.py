@@ -2,7 +2,7 @@
 
 from collections import Counter
 from datetime import date, datetime, timedelta
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 from types import SimpleNamespace
 
 import fixture as fx
@@ -189,8 +189,35 @@ def test_asof_refuses_what_a_strategy_cannot_do(spark):
     left = rows.select("k", F.col("t").alias("at"))
     with pytest.raises(ValueError, match="kept by date"):
         asof.asof_join(left, rows, ["k"], "at", "t", ["v"], "dense")
-    with pytest.raises(ValueError, match="too large"):
-        asof.asof_join(left, rows, ["k"], "at", "t", ["v"], "interval", max_broadcast_rows=0)
+    with pytest.raises(ValueError, match="strategy must be one of"):
+        asof.asof_join(left, rows, ["k"], "at", "t", ["v"], "other")
+
+
+def test_intervals_beyond_the_broadcast_limit_agree(spark):
+    rows = spark.createDataFrame(
+        [(k, datetime(2020, m, 1), m) for k in "ab" for m in (1, 2, 6)] + [(None, datetime(2020, 1, 1), 9)],
+        "k string, t timestamp, v long")
+    left = spark.createDataFrame(
+        [(k, datetime(2020, m, d)) for k in ("a", "b", "c", None) for m in (1, 2, 5, 12) for d in (1, 15)]
+        + [("a", None), ("a", datetime(2019, 1, 1))], "k string, at timestamp")
+    few, many = (asof.asof_join(left, rows, ["k"], "at", "t", ["v"], "interval", max_broadcast_rows=limit)
+                 for limit in (200_000, 0))
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
+def test_lookups_of_small_tables_start_no_job(spark, tmp_path):
+    spark.range(50).selectExpr("id", "cast(id AS string) AS name").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    rows = spark.range(1000).withColumn("id", F.col("id") % 60)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    joined = joins.lookup_join(rows, dim, ["id"])
+    missing = checks.active_tags_exist(
+        spark.createDataFrame([("x", True)], "tag string, is_active boolean"),
+        spark.createDataFrame([("x, y",)], "tags string"))
+    assert len(tracker.getJobIdsForGroup("building")) == 0
+    assert joined.count() == 1000 and missing.count() == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 LEDGER = ("account string, transaction_ts timestamp, amount decimal(18,2), currency string, "
@@ -361,3 +388,37 @@ def test_conversion_needs_both_rates(spark):
     assert convert("RUB", "USD", lit.n, lit.z) is None
     assert convert("USD", "KGS", lit.r, lit.n) is None
     assert convert("USD", "KGS", lit.n, lit.r) is None
+
+
+def test_conversion_is_exact(spark):
+    """Quotients by hand, rounded once to six decimals."""
+    rows = [("1234.57", "USD", "KGS", "90.1234", "1.0353"), ("1234.56", "USD", "KGS", "0.003712345678", "0.000021234567"),
+            ("-0.01", "USD", "KGS", "90.1234", "1.0353"), ("1234.57", "RUB", "KGS", None, "0.000021234567"),
+            ("9999999999999999.99", "USD", "RUB", "1.000000000001", None), ("5.00", "USD", "KGS", "1", "0"),
+            ("5.00", "USD", "KGS", None, "1"), ("7.77", "USD", "USD", None, None)]
+
+    def want(amount, own, target, own_rate, target_rate):
+        value = Decimal(amount)
+        if own != target:
+            rates = [Decimal(1) if c == "RUB" else None if r is None else Decimal(r)
+                     for c, r in ((own, own_rate), (target, target_rate))]
+            if None in rates or rates[1] == 0:
+                return None
+            with localcontext() as exact:
+                exact.prec = 80
+                value = value * rates[0] / rates[1]
+        with localcontext() as exact:
+            exact.prec = 80
+            return value.quantize(Decimal("0.000001"), ROUND_HALF_UP)
+
+    for kind in ("decimal(18,2)", "decimal(38,2)"):
+        df = spark.createDataFrame(
+            [(i, *(None if v is None else Decimal(v) if "." in v or v.isdigit() else v for v in r))
+             for i, r in enumerate(rows)],
+            "i int, amount decimal(38,2), own string, target string, a decimal(24,12), b decimal(24,12)")
+        out = df.select("i", amounts.convert_amount(F.col("amount").cast(kind), F.col("own"), F.col("target"),
+                                                    F.col("a"), F.col("b")).alias("c"))
+        assert {r.i: r.c for r in out.collect()} == {i: want(*r) for i, r in enumerate(rows)}
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented"):
+        spark.sql("SELECT CAST('12345678901234567.00' AS DECIMAL(38,2)) AS a").select(
+            amounts.convert_amount(F.col("a"), F.lit("USD"), F.lit("USD"), F.lit(None), F.lit(None))).collect()
