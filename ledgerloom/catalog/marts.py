@@ -150,7 +150,7 @@ _IN_RUB = f"""
     FROM ({_IN_RUB}) WHERE transaction_type = 'Expense' GROUP BY ALL
 """)
 def spend_by_period(t: Tables) -> DataFrame:
-    return dashboards.spend_by_period(fact_mart(t), "Month", "RUB")
+    return dashboards.spend_by_period(fact_mart(t, grains=["Month"], targets=["RUB"]), "Month", "RUB")
 
 
 @query("income_by_period", f"""
@@ -159,7 +159,7 @@ def spend_by_period(t: Tables) -> DataFrame:
     FROM ({_IN_RUB}) WHERE transaction_type = 'Income' GROUP BY ALL
 """)
 def income_by_period(t: Tables) -> DataFrame:
-    return dashboards.income_by_period(fact_mart(t), "Month", "RUB")
+    return dashboards.income_by_period(fact_mart(t, grains=["Month"], targets=["RUB"]), "Month", "RUB")
 
 
 @query("balance_over_time", """
@@ -173,4 +173,4 @@ def income_by_period(t: Tables) -> DataFrame:
     WHERE period_grain = 'Week' GROUP BY period, account_type
 """)
 def balance_over_time(t: Tables) -> DataFrame:
-    return dashboards.balance_over_time(balance_mart(t), "Week", "RUB")
+    return dashboards.balance_over_time(balance_mart(t, grains=["Week"], targets=["RUB"]), "Week", "RUB")

@@ -46,10 +46,16 @@ def classified(
     })
 
 
-def _fact_rows(rows, ledger, rates, pivot, numeric, grains):
+def _targets(named, rates, ledger, pivot):
+    if named is None:
+        return target_currency_set(rates, ledger, pivot)
+    return rates.sparkSession.createDataFrame([(t,) for t in named], "target_currency string")
+
+
+def _fact_rows(rows, ledger, rates, pivot, numeric, grains, targets):
     rows = rows.select(*_FACT_COLUMNS[:10], "amount_abs")
     converted = convert_to_targets(
-        rows, rates, target_currency_set(rates, ledger, pivot), "amount_abs",
+        rows, rates, _targets(targets, rates, ledger, pivot), "amount_abs",
         F.col("transaction_date").cast("date"), "amount_abs_converted",
         pivot=pivot, numeric=numeric,
     )
@@ -67,10 +73,14 @@ def fact_mart(
     numeric: str = "decimal",
     grains: list[str] = GRAINS,
     one_row_each: bool = False,
+    targets: list[str] | None = None,
 ) -> DataFrame:
-    """Transactions of active accounts per period grain and reporting currency."""
+    """Transactions of active accounts per period grain and reporting currency.
+
+    A read that needs few grains or currencies names them, so that no others are computed.
+    """
     rows = classified(ledger, recurring, reserve_funded, one_row_each)
-    return _fact_rows(rows, ledger, rates, pivot, numeric, grains)
+    return _fact_rows(rows, ledger, rates, pivot, numeric, grains, targets)
 
 
 def fact_mart_masked(
@@ -85,6 +95,7 @@ def fact_mart_masked(
     numeric: str = "decimal",
     grains: list[str] = GRAINS,
     one_row_each: bool = False,
+    targets: list[str] | None = None,
 ) -> DataFrame:
     """As ``fact_mart`` with demo accounts and categories and scaled amounts."""
     rows = classified(ledger, recurring, reserve_funded, one_row_each)
@@ -95,13 +106,13 @@ def fact_mart_masked(
         "parent_category": F.col("demo_parent_category"),
         "category": F.col("demo_category"),
     })
-    return _fact_rows(rows, ledger, rates, pivot, numeric, grains)
+    return _fact_rows(rows, ledger, rates, pivot, numeric, grains, targets)
 
 
-def _balance_rows(active, ledger, rates, as_of, pivot, numeric, grains):
+def _balance_rows(active, ledger, rates, as_of, pivot, numeric, grains, targets):
     ends = period_ends(daily_balances(active, as_of), "period_end", as_of, grains)
     return convert_to_targets(
-        ends, rates, target_currency_set(rates, ledger, pivot), "balance",
+        ends, rates, _targets(targets, rates, ledger, pivot), "balance",
         F.col("period_end"), "balance_converted", pivot=pivot, numeric=numeric,
     ).select(*_BALANCE_COLUMNS)
 
@@ -113,9 +124,10 @@ def balance_mart(
     pivot: str = PIVOT_CURRENCY,
     numeric: str = "decimal",
     grains: list[str] = GRAINS,
+    targets: list[str] | None = None,
 ) -> DataFrame:
     """Balance of every active account at the end of every period up to ``as_of``."""
-    return _balance_rows(filter_active(ledger), ledger, rates, as_of, pivot, numeric, grains)
+    return _balance_rows(filter_active(ledger), ledger, rates, as_of, pivot, numeric, grains, targets)
 
 
 def masked_ledger(
@@ -140,7 +152,8 @@ def balance_mart_masked(
     pivot: str = PIVOT_CURRENCY,
     numeric: str = "decimal",
     grains: list[str] = GRAINS,
+    targets: list[str] | None = None,
 ) -> DataFrame:
     """As ``balance_mart`` over the masked ledger: every amount is scaled before it is summed."""
     masked = masked_ledger(ledger, accounts, accounts_demo, masks)
-    return _balance_rows(masked, ledger, rates, as_of, pivot, numeric, grains)
+    return _balance_rows(masked, ledger, rates, as_of, pivot, numeric, grains, targets)
