@@ -50,9 +50,8 @@ def row(r):
 
 def test_against_every_pair(spark):
     docs = inputs.documents(spark, texts())
-    for threshold in (0.8, 0.5, 1.0):
-        got = {r.doc_id: row(r) for r in licenses.scan(docs, TEMPLATES, threshold).collect()}
-        assert got == {i: plain(t, threshold) for i, t in enumerate(texts())}
+    got = {r.doc_id: row(r) for r in licenses.scan(docs, TEMPLATES, 0.5).collect()}
+    assert got == {i: plain(t, 0.5) for i, t in enumerate(texts())}
 
 
 def test_sql_gives_the_same(spark):
