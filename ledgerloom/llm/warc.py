@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import sized, stored
 
 MIN_REVISIT_BYTES = 100
 #: Archives hold about this many bytes of payload, so that one is no burden to the task that reads it.
@@ -31,8 +31,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def headers(pages: DataFrame) -> DataFrame:
-    """Each page with payload, payload_bytes, payload_digest and, by digest, record_type and
-    refers_to. Null html is an empty payload."""
+    """Each page with payload (none for a revisit), payload_bytes, payload_digest and, by digest,
+    record_type and refers_to. Null html is an empty payload."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     named = pages.select("page_id", "url", payload.alias("payload"),
                          F.octet_length(payload).cast("long").alias("payload_bytes"),
@@ -40,10 +40,11 @@ def headers(pages: DataFrame) -> DataFrame:
     # Only digests that occur more than once need a join; the counts are summed before the shuffle.
     shared = (named.filter(F.col("payload_bytes") >= MIN_REVISIT_BYTES).groupBy("payload_digest")
               .agg(F.min("page_id").alias("original"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    joined = named.join(shared, "payload_digest", "left")
+    # Payloads move only if there are too many such digests to send them to every task.
+    joined = named.join(sized(shared, shared.count(), 160), "payload_digest", "left")
     again = F.col("page_id") != F.col("original")
     return joined.select(
-        "page_id", "url", "payload", "payload_bytes", "payload_digest",
+        "page_id", "url", F.when(again, "").otherwise(F.col("payload")).alias("payload"), "payload_bytes", "payload_digest",
         F.when(again, "revisit").otherwise("response").alias("record_type"),
         F.when(again, F.col("original")).alias("refers_to"))
 
@@ -63,7 +64,7 @@ def records(headed: DataFrame) -> DataFrame:
     response = F.concat(F.lit(f"HTTP/1.1 200 OK{end}Content-Type: text/html; charset=utf-8{end}Content-Length: "),
                         F.col("payload_bytes").cast("string"), F.lit(end * 2))
     is_revisit = F.col("record_type") == "revisit"
-    block = F.concat(response, F.when(is_revisit, F.lit("")).otherwise(F.col("payload")))
+    block = F.concat(response, F.col("payload"))
     lines = [
         F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.col("record_type")),
         F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("page_id"))),
@@ -80,8 +81,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
     """Deduplicated archives of ``pages`` (page_id, url, html) under ``path``."""
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     parts = max(1, -(-total // ARCHIVE_BYTES))
-    # Dealt by id before the join: archives have even sizes wherever the joined rows come from.
-    dealt = records(headers(pages)).repartition(int(parts))
+    place = F.xxhash64("page_id", "url", "payload_digest")
+    dealt = records(headers(pages).repartition(int(parts), place))
     dealt.write.mode("overwrite").option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
