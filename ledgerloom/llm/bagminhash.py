@@ -10,8 +10,8 @@ is reached. Whatever lies after the largest register so far is dropped with all
 
 Signatures are cut into bands; texts that share a band are candidates; candidates are verified by
 exact multiset overlap. No group is expanded into all pairs: members of a bucket are first compared
-with two leaders of it, then with two others, and only members that are still in different classes
-afterwards are compared directly. A pair of candidates is left out only if both are already in one
+with two leaders of it, and only members that are still in different classes afterwards are compared
+directly. A pair of candidates is left out only if both are already in one
 class, so classes are those that all verified candidate pairs would give. Pairs of a bucket of up to
 ``CROWD`` members are written down and verified; in a larger one the overlap is a condition of the
 join itself, so that only near pairs ever leave it.
@@ -294,34 +294,18 @@ def _text_classes(filled: DataFrame, threshold: float) -> DataFrame:
                     .distinct(), "pairs")
     links = stored(verified(tested), "near")
     roots = components(links)
-    for last in (False, True):
-        placed = buckets.select("key", "node").join(roots, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        mark = F.struct(F.xxhash64("node").alias("h"), "node", "root")
-        mixed = (placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                                           F.min(mark).alias("m0"), F.max(mark).alias("m1"),
-                                           F.count("*").alias("n"))
-                 .filter("r0 <> r1"))
-        crowded = None
-        if last:
-            open_rows = stored(placed.join(mixed.select("key", "n"), "key"), "open")
-            small, crowd = open_rows.filter(F.col("n") <= CROWD), open_rows.filter(F.col("n") > CROWD)
-            other = small.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-            new = ordered(small.join(other, "key").filter("root < root2"), "node", "node2")
-            crowded = _near_in_crowds(crowd, signed, texts, threshold)
-        else:
-            near = placed.join(mixed, "key")
-            new = (ordered(near.filter("root <> m0.root"), "node", "m0.node")
-                   .union(ordered(near.filter("root <> m1.root"), "node", "m1.node")))
-        new = stored(new.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty() and not last:
-            break
-        found = verified(new)
-        found = stored(found if crowded is None else found.union(crowded), "near")
-        tested = tested.union(new)
-        if not found.isEmpty():
-            links = links.union(found)
-            roots = components(links)
+    placed = buckets.select("key", "node").join(sized(roots, roots.count(), 96), "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    mixed = (placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                       F.count("*").alias("n")).filter("low <> high"))
+    open_rows = stored(placed.join(mixed.select("key", "n"), "key"), "open")
+    small, crowd = open_rows.filter(F.col("n") <= CROWD), open_rows.filter(F.col("n") > CROWD)
+    other = small.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
+    pairs = ordered(small.join(other, "key").filter("root < root2"), "node", "node2")
+    untested = pairs.distinct().join(tested, ["a", "b"], "left_anti")
+    found = stored(verified(untested).union(_near_in_crowds(crowd, signed, texts, threshold)), "near")
+    if not found.isEmpty():
+        roots = components(links.union(found))
 
     ids = filled.groupBy("node").agg(F.min("doc_id").alias("least_id"))
     classes = ids.join(roots, "node", "left").withColumn("class_key", F.coalesce("root", "node"))
