@@ -149,7 +149,7 @@ def read_rates_xml(t: Tables):
     # Where the nominal is zero the documents leave it empty: such records are skipped.
     empty = F.nullif("base_amount", F.lit("0"))
     rate_documents(t.raw_rates.withColumn("base_amount", empty), path)
-    return rates.read_rates_xml(t.spark, path, _catalog(t))
+    return rates.read_rates_xml(t.spark, path, _catalog(t)).drop("_modified")
 
 
 @query("read_seed", """
