@@ -1,32 +1,36 @@
 """Main text of web pages by differencing pages with near urls.
 
-Pages are sorted by host and path; each is paired with the page before it on its host, or else the
-one after. The text lines of the two are aligned by a longest common subsequence, and the lines they
-share are the site's, not the page's, and are deleted. Lines of an element that is made for such
-things (navigation, footers, adverts, ...) are aligned by the element they are in, for their words
-may vary from page to page.
-
-Pages of a site can be copies of each other. So lines inside ``article`` or ``main`` are never deleted
-for being shared, and where a page has such an element the rest of the page is not its text. Elements
-made for navigation and the like are left out even where no page is near.
+Pages are sorted by host and path; each is held against the ``WITNESSES`` pages before it on its host
+whose own text differs from its own and from each other's, or else those after it. The text lines of
+two pages are aligned by a longest common subsequence, and the lines they share are the site's, not
+the page's, and are deleted. Lines of an element that is made for such things (navigation, footers,
+adverts, ...) are aligned by the element they are in, for their words may vary from page to page.
+
+Pages of a site can be copies of each other: true copies are no witnesses, and lines inside ``article``
+or ``main`` are deleted only if all witnesses share them, so that one near copy takes nothing. Two tag
+rules decide alone: where a page has such an element the rest of the page is not its text, and
+elements made for navigation and the like are left out even where no page is near.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import stored
 from ledgerloom.llm.urls import host_and_path
 
 # Elements by their part in a page.
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "title")
 ASIDE = frozenset("nav header footer aside form button dialog menu head".split())
 MAIN = frozenset(("article", "main"))
+WITNESSES = 2  # pages that a page is held against
 INLINE = frozenset("a abbr b bdi bdo br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -130,59 +134,169 @@ def aligned(a: list, b: list) -> list[int]:
     return sorted(places)
 
 
-def main_text(own: list[tuple[str, str, bool]], near: list[tuple[str, str, bool]] | None) -> str:
-    """A page's lines without what is the site's."""
-    keys = [(aside or text, bool(aside)) for text, aside, _ in own]
-    shared = set()
-    if near is not None:
-        shared = set(aligned(keys, [(aside or text, bool(aside)) for text, aside, _ in near]))
+Lines = list[tuple[str, str, bool]]
+
+
+def own_text(own: Lines) -> list[int]:
+    """Places of the lines that the tag rules leave."""
     has_main = any(main and not aside for _, aside, main in own)
-    kept = []
-    for i, (text, aside, main) in enumerate(own):
-        if aside or (has_main and not main) or (i in shared and not main):
-            continue
-        kept.append(text)
-    return "\n".join(kept)
+    return [i for i, (_, aside, main) in enumerate(own) if not aside and (main or not has_main)]
+
+
+def main_text(own: Lines, near: Lines | None, *further: Lines) -> str:
+    """A page's lines without what is the site's; ``near`` is the first witness, ``further`` the others."""
+    keys = [(aside or text, bool(aside)) for text, aside, _ in own]
+    left = own_text(own)
+    shared = everywhere = frozenset()
+    if left and near is not None:
+        shared = everywhere = frozenset(aligned(keys, [(aside or text, bool(aside)) for text, aside, _ in near]))
+        for page in further:
+            if not any(i in everywhere and own[i][2] for i in left):
+                break
+            everywhere &= frozenset(aligned(keys, [(aside or text, bool(aside)) for text, aside, _ in page]))
+    return "\n".join(own[i][0] for i in left if i not in (everywhere if own[i][2] else shared))
+
+
+def mark(own: Lines) -> int | None:
+    """Stands for the text of a page by the tag rules alone; None without text. Equal for true copies."""
+    text = "\n".join(own[i][0] for i in own_text(own))
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big",
+                          signed=True) if text else None
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
+BEFORE, OWN, AFTER = 0, 1, 2  # a range's own pages, and those carried over from other ranges
+
+
+def _marks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for pages in batches:
+        yield pd.Series([mark(lines(page or "")) for page in pages], dtype="Int64")
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    waiting = None  # a page whose neighbour is still to come: (id, url, host, lines, previous lines)
+    at = None  # range and host
+    recent: list[tuple[int, Lines]] = []  # the last pages of the host with different marks, newest first
+    waiting: list[tuple] = []  # pages with too few witnesses yet: (id, url, lines, mark, witnesses)
 
-    def row(page: tuple, after: list | None) -> tuple:
-        page_id, url, _, own, before = page
-        text = main_text(own, before if before is not None else after)
+    def row(page_id: int | None, url: str | None, own: Lines, witnesses: list[Lines]) -> tuple:
+        text = main_text(own, *(witnesses or [None]))
         return page_id, url, text, len(text)
 
+    def frame_of(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars"]).astype({"page_id": "Int64"})
+
     for frame in batches:
         rows = []
         missing = frame["page_id"].isna()
-        for page_id, no_id, url, host, page in zip(frame["page_id"], missing, frame["url"], frame["host"], frame["html"]):
-            own, before = lines(page or ""), None
-            if waiting is not None:
-                same = waiting[2] == host
-                rows.append(row(waiting, own if same else None))
-                before = waiting[3] if same else None
-            waiting = (None if no_id else int(page_id), url, host, own, before)
-        yield pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars"]).astype({"page_id": "Int64"})
-    if waiting is not None:
-        last = pd.DataFrame([row(waiting, None)], columns=["page_id", "url", "text", "n_chars"])
-        yield last.astype({"page_id": "Int64"})
+        for part, side, page_id, no_id, url, host, page in zip(
+                frame["part"], frame["side"], frame["page_id"], missing, frame["url"], frame["host"], frame["html"]):
+            if (part, host) != at:
+                rows += [row(i, u, x, w) for i, u, x, _, w in waiting]
+                at, recent, waiting = (part, host), [], []
+            own = lines(page or "")
+            of_own = mark(own)
+            # While pages wait, ``recent`` holds every mark of the host, so this is done a few times only.
+            if waiting and of_own is not None and all(m != of_own for m, _ in recent):
+                for *_, witnesses in waiting:
+                    witnesses.append(own)
+                rows += [row(i, u, x, w) for i, u, x, _, w in waiting if len(w) == WITNESSES]
+                waiting = [w for w in waiting if len(w[4]) < WITNESSES]
+            if side == OWN:
+                known = (None if no_id else int(page_id), url, own)
+                witnesses = [x for m, x in recent if m != of_own][:WITNESSES]
+                if of_own is None or len(witnesses) == WITNESSES:
+                    rows.append(row(*known, witnesses))
+                else:
+                    waiting.append((*known, of_own, witnesses))
+            if of_own is not None:
+                recent = [(of_own, own), *[r for r in recent if r[0] != of_own][:WITNESSES]]
+        yield frame_of(rows)
+    yield frame_of([row(i, u, x, w) for i, u, x, _, w in waiting])
+
+
+ORDER = ("host", "path", "known", "id", "content")
+_KEY = "struct<host:string,path:string,known:boolean,id:bigint,content:bigint>"
+
+
+def _bounds(marks: DataFrame, parts: int) -> DataFrame:
+    """One row: keys that cut the pages in about ``parts`` ranges of like size."""
+    share = min(1.0, 60 * parts / max(marks.count(), 1))
+    found = [tuple(r) for r in marks.select(*ORDER).sample(share, 42).orderBy(*ORDER).collect()]
+    cuts = [found[len(found) * i // parts] for i in range(1, parts)] if found else []
+    return marks.sparkSession.createDataFrame([(sorted(set(cuts)),)], f"bounds array<{_KEY}>")
+
+
+def _part(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    key = F.struct(*ORDER)
+    return (df.crossJoin(F.broadcast(bounds))
+            .withColumn("part", F.size(F.filter("bounds", lambda b: b <= key))).drop("bounds"))
+
+
+def _carried(ranged: DataFrame) -> list[tuple]:
+    """(part, side, *key) of the pages that a range needs from the ranges before and after it: the
+    nearest with different marks on the host that the two have in common. A few rows a range."""
+    ends = {r["part"]: (r["first"], r["last"]) for r in ranged.groupBy("part").agg(
+        F.min("host").alias("first"), F.max("host").alias("last")).collect()}
+    hosts = F.broadcast(ranged.sparkSession.createDataFrame(
+        [(p, *e) for p, e in ends.items()], "part int, first string, last string"))
+    key = F.struct(*ORDER)
+
+    def nearest(end: str, pick: Column, order: Column) -> dict[int, list[tuple]]:
+        """Per range, of its first or last host, one page for each mark, nearest to that end first."""
+        ranks = F.row_number().over(Window.partitionBy("part").orderBy(order))
+        found = (ranged.filter("mark IS NOT NULL").join(hosts, "part").filter(F.col("host") == F.col(end))
+                 .groupBy("part", "mark").agg(pick.alias("key")).withColumn("rank", ranks)
+                 .filter(F.col("rank") <= WITNESSES + 1).collect())
+        by_part: dict[int, list[tuple]] = {}
+        for r in sorted(found, key=lambda r: r["rank"]):
+            by_part.setdefault(r["part"], []).append((r["mark"], tuple(r["key"])))
+        return by_part
+
+    tails = nearest("last", F.max(key), F.col("key").desc())
+    heads = nearest("first", F.min(key), F.col("key").asc())
+
+    def joined(one: list[tuple], more: list[tuple]) -> list[tuple]:
+        marks = {m for m, _ in one}
+        return [*one, *[x for x in more if x[0] not in marks]][:WITNESSES + 1]
+
+    rows, host, state, seen = [], None, [], {}
+    for part in sorted(ends):
+        first, last = ends[part]
+        state = state if host == first else []
+        rows += [(part, BEFORE, *k) for _, k in state]
+        host, state = last, joined(tails.get(part, []), state if first == last else [])
+        seen[part] = len(state)
+    host, state = None, []
+    for part in sorted(ends, reverse=True):
+        first, last = ends[part]
+        state = state if host == last else []
+        if seen[part] <= WITNESSES:  # else no page of the range still waits at its end
+            rows += [(part, AFTER, *k) for _, k in state]
+        host, state = first, joined(heads.get(part, []), state if first == last else [])
+    return rows
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars, one row per row of ``pages``.
 
-    Null and empty html give an empty text. Pages without a near page lose only elements made for
-    navigation and the like. A host of any size is sorted in as many ranges as it needs; the first
-    page of a range is paired with the one after it. Pages of one url follow each other by id, then
-    content. An empty table gives no rows; other columns are not read.
+    Null and empty html give an empty text. Pages without a near page lose only what the tag rules
+    take. A host of any size is sorted in as many ranges as it needs; the pages that a range needs
+    from its neighbours are carried over, so results do not depend on the ranges. Pages of one url
+    follow each other by id, then content. An empty table gives no rows; other columns are not read.
     """
+    spark = pages.sparkSession
     host, path = host_and_path("url")
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"),
                          path.alias("path"), F.xxhash64("html").alias("content"))
-    order = ["host", "path", "page_id", "content"]
-    return (keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-            .select("page_id", "url", "host", "html").mapInPandas(_extract, SCHEMA))
+    keyed = (keyed.withColumn("known", F.col("page_id").isNotNull())
+             .withColumn("id", F.coalesce("page_id", F.lit(0).cast("long"))))
+    marked = F.pandas_udf(_marks, "long")
+    marks = stored(keyed.select(*ORDER, marked("html").alias("mark")), "marks")
+    bounds = _bounds(marks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    carried = spark.createDataFrame(
+        _carried(_part(marks, bounds)), "part int, side int, host string, path string, known boolean, id long, content long")
+    columns = ("part", "side", *ORDER, "page_id", "url", "html")
+    others = keyed.join(F.broadcast(carried), list(ORDER)).select(*columns).dropDuplicates(["part", "side", *ORDER])
+    everything = _part(keyed, bounds).withColumn("side", F.lit(OWN)).select(*columns).unionByName(others)
+    return (everything.repartitionByRange("part").sortWithinPartitions("part", "side", *ORDER)
+            .select("part", "side", "page_id", "url", "host", "html").mapInPandas(_extract, SCHEMA))

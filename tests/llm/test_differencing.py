@@ -65,3 +65,27 @@ def test_given_pages_hold_whole_documents(spark):
     for r in differencing.extracted(pages).collect():
         assert r.n_chars == len(r.text) and r.text.count("\n") + 1 == len(
             [x for x in re.split(r"</?(?:p|h1)>", bodies[r.page_id]) if re.sub("<[^>]*>", "", x).strip()])
+
+
+def test_site_lines_inside_articles_go_and_copies_stay(spark):
+    page = "<article><p>Share this</p><p>{}</p><p>Write to our paper</p></article>"
+    rows = [(i, f"http://h.org/{i:02}", page.format(f"story {i}")) for i in range(5)]
+    rows += [(i, f"http://h.org/{i:02}", page.format("told again")) for i in range(5, 10)]  # true copies
+    rows += [(10, "http://h.org/10", page.format("long</p><p>tale</p><p>one")), (11, "http://h.org/11", page.format("long</p><p>tale</p><p>two")),
+             (12, "http://h.org/12", ""), (13, "http://h.org/13", page.format("last"))]
+    got = {r.page_id: r.text for r in differencing.extracted(inputs.pages(spark, rows)).collect()}
+    assert got == {**{i: f"story {i}" for i in range(5)}, **{i: "told again" for i in range(5, 10)},
+                   10: "long\ntale\none", 11: "long\ntale\ntwo", 12: "", 13: "last"}
+
+
+def test_pairs_do_not_depend_on_ranges(spark):
+    page = "<div>Share {}</div><p>{}</p><div>All about us</div>"
+    rows = [(i, f"http://h{i // 9}.org/{i:02}", page.format(i % 2, f"story {i // 2 if i < 18 else 0}")) for i in range(40)]
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in (1, 7, 60):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append({r.page_id: r.text for r in differencing.extracted(inputs.pages(spark, rows)).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 40 and not any("us" in t for t in got[0].values())
