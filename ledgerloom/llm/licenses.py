@@ -1,6 +1,8 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text; a block and a template are sets of words. A block holds a template
+A block is a line of a text; with ``wrapped``, the words around each line break are blocks as well, as
+many on each side as the longest template has, so that every notice wrapped over lines lies whole
+in the block of each of its breaks. A block and a template are sets of words. A block holds a template
 if it contains at least the share ``threshold`` of the template's words. With needed overlap
 c = ceil(threshold * size of the template) the join rests on three filters, none of which loses a
 pair:
@@ -51,8 +53,17 @@ TEMPLATES = (
     Template("cc", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 )
 
+#: Notices of a few words that name a license by its short name, for callers that want them labelled.
+SHORT_NOTICES = (
+    Template("cc", "Licensed under CC BY 4.0"),
+    Template("cc", "Licensed under CC BY-SA 4.0"),
+    Template("cc", "Licensed under CC BY-NC 4.0"),
+    Template("cc", "Licensed under CC BY-ND 4.0"),
+)
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BREAK_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column | str) -> Column:
@@ -62,17 +73,39 @@ def words_of(text: Column | str) -> Column:
 
 
 def template_rows(spark: SparkSession, templates: tuple[Template, ...], threshold: float) -> DataFrame:
-    """(template, label, words, size, need) with distinct words."""
+    """(template, label, words, length, size, need) with distinct words; the length counts repeated ones."""
     schema = T.StructType([T.StructField("template", T.IntegerType()), T.StructField("label", T.StringType()),
                            T.StructField("text", T.StringType())])
     rows = spark.createDataFrame([(i, t.label, t.text) for i, t in enumerate(templates)], schema)
-    return (rows.select("template", "label", F.array_distinct(words_of("text")).alias("words"))
+    return (rows.select("template", "label", F.array_distinct(words_of("text")).alias("words"),
+                        F.size(words_of("text")).alias("length"))
             .withColumn("size", F.size("words")).filter("size > 0")
             .withColumn("need", F.ceil(F.col("size") * threshold - F.lit(1e-9)).cast("int")))
 
 
+def _words_and_breaks(text: str) -> tuple[Column, Column]:
+    """Words of a text, and how many of them stand before each line break that words stand around."""
+    lowered = F.regexp_replace(F.translate(text, _UPPER, _LOWER), "\n", " \n ")
+    tokens = F.array_remove(F.split(lowered, _BREAK_IN_LINE), "")
+    places = F.filter(F.transform(tokens, lambda t, i: F.when(t == "\n", i)), lambda i: i.isNotNull())
+    before = F.array_distinct(F.transform(places, lambda i, k: i - k))
+    words = F.array_remove(tokens, "\n")
+    return words, F.filter(before, lambda n: n > 0)
+
+
+def wrapped_blocks(docs: DataFrame, vocabulary: Column, longest: int) -> DataFrame:
+    """(node, words): the ``longest`` words on each side of each line break, of those in ``vocabulary``."""
+    words, breaks = _words_and_breaks("text")
+    split = docs.filter(F.contains("text", F.lit("\n"))).select(
+        text_key("text").alias("node"), words.alias("words"), breaks.alias("breaks"))
+    start = lambda n: F.greatest(n - longest, F.lit(0))
+    around = F.transform("breaks", lambda n: F.array_intersect(
+        F.slice("words", start(n) + 1, n - start(n) + longest), vocabulary))
+    return split.select("node", F.explode(around).alias("words"))
+
+
 def template_links(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
-                   threshold: float = THRESHOLD) -> DataFrame:
+                   threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """(node, label, containment): each distinct text's best block for each label that reaches the
     threshold. ``node`` is ``text_key(text)``; null texts have no blocks."""
     spark = docs.sparkSession
@@ -85,8 +118,10 @@ def template_links(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     vocabulary = F.array(*[F.lit(r["word"]) for r in known.orderBy("word").collect()])
     blocks = (docs.filter("text IS NOT NULL")
               .select(text_key("text").alias("node"), F.explode(F.split("text", "\n")).alias("line"))
-              .select("node", F.array_intersect(words_of("line"), vocabulary).alias("words"))
-              .filter(F.size("words") >= least).distinct()
+              .select("node", F.array_intersect(words_of("line"), vocabulary).alias("words")))
+    if wrapped:
+        blocks = blocks.unionByName(wrapped_blocks(docs, vocabulary, rows.agg(F.max("length")).first()[0]))
+    blocks = (blocks.filter(F.size("words") >= least).distinct()
               .withColumn("block", F.xxhash64("words")))
     blocks = stored(blocks, "blocks")
     counted = (blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("blocks")))
@@ -132,15 +167,16 @@ def _phrase_places(words: Column, phrases: tuple[tuple[str, str], ...]) -> Colum
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold: float = THRESHOLD,
-         phrases: tuple[tuple[str, str], ...] = PHRASES) -> DataFrame:
+         phrases: tuple[tuple[str, str], ...] = PHRASES, wrapped: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels, score.
 
     ``n_base`` counts all places of all phrases; the score is 1 with a phrase, else the largest
     containment that reached the threshold, else 0. Null texts have no words; a text without labels
-    has empty label strings. Rows may repeat; an empty table gives no rows; other columns are not read.
+    has empty label strings. Only with ``wrapped`` are notices found whose words lie on several lines
+    with too few on each, which ``oracle`` does not know. Rows may repeat; an empty table gives no rows; other columns are not read.
     """
-    links = template_links(docs, templates, threshold)
+    links = template_links(docs, templates, threshold, wrapped)
     of_text = links.groupBy("node").agg(F.sort_array(F.collect_set("label")).alias("more"),
                                         F.max("containment").alias("containment"))
     of_text = stored(of_text, "labels")

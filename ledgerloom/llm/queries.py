@@ -13,7 +13,7 @@ from ledgerloom.session import shared_dir
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

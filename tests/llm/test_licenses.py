@@ -7,6 +7,7 @@ import inputs
 import pandas as pd
 
 from ledgerloom.llm import licenses
+from ledgerloom.llm.queries import QUERIES
 
 TEMPLATES = (
     *licenses.TEMPLATES, licenses.Template("short", "one two"), licenses.Template("mit", "a b c d e f g h i j"),
@@ -68,3 +69,31 @@ def test_repeated_missing_and_no_rows(spark):
     docs = inputs.documents(spark, ["mit license", "mit license", None], [5, 5, None])
     assert licenses.scan(docs).filter("n_base = 1").count() == 2 and licenses.scan(docs).count() == 3
     assert licenses.scan(docs.limit(0)).count() == 0 and licenses.scan(docs, ()).count() == 3
+
+
+def test_wrapped_notices_are_found(spark):
+    notices = [t for t in licenses.TEMPLATES if t.label in ("mit", "gpl", "bsd", "mpl", "cc")]
+    texts, labels = [], []
+    for t in notices:
+        for width in (1, 4, 6):
+            for mark, end in (("", "\n"), ("# ", "\r\n"), (" * ", "\n\n")):
+                own = t.text.split()
+                rows = [mark + " ".join(own[i:i + width]) for i in range(0, len(own), width)]
+                texts.append(end.join([inputs.prose(90), *rows, inputs.prose(90)]))
+                labels.append(t.label)
+    texts += [inputs.prose(900), "\n\n", "\n", "", None, "\n" + " ".join(notices[0].text.split()[:12]) + "\nx"]
+    labels += [""] * 6
+    got = {r.doc_id: r.labels for r in licenses.scan(inputs.documents(spark, texts), wrapped=True).collect()}
+    assert got == dict(enumerate(labels))
+
+
+def test_short_notices(spark):
+    docs = inputs.documents(spark, ["x\nLicensed under CC BY-NC 4.0.\ny", "licensed under\ncc by-sa\n4.0", "by 4.0"])
+    got = licenses.scan(docs, (*licenses.TEMPLATES, *licenses.SHORT_NOTICES), wrapped=True).orderBy("doc_id")
+    assert [r.labels for r in got.collect()] == ["cc", "cc", ""]
+
+
+def test_wrapped_notices_in_the_registered_query(spark, tmp_path):
+    notice = licenses.TEMPLATES[4].text.split()
+    inputs.documents(spark, [" ".join(notice[:9]) + "\n" + " ".join(notice[9:])]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["op1_license_scan"](spark, str(tmp_path)).first().labels == "bsd"
