@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    bagminhash, decontam, differencing, langid, licenses, line_rules, packing, pii, urls, warc)
+    bagminhash, bitplanes, decontam, differencing, gnat, langid, licenses, line_rules, packing, pii, urls,
+    warc)
 from ledgerloom.llm.common import table
 from ledgerloom.session import shared_dir
 
@@ -52,10 +53,19 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build
     for build in (op1_license_scan, op2_warc, op3_packing, op4_quality_rules, op5_language_id, op6_url_filter,
-                  op7_pii, op8_html_extraction, op9_minhash_near_dedup, op10_benchmark_decontamination)
+                  op7_pii, op8_html_extraction, op9_minhash_near_dedup, op10_benchmark_decontamination,
+                  op11_vector_codes, op12_centroid_clusters)
 }
 
 #: Where there is none, SQL lacks the tokenizer, the trained model or the search; tests hold those
@@ -64,4 +74,6 @@ ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.oracle(),
     "op2_warc": warc.ORACLE,
     "op6_url_filter": urls.oracle(),
+    "op11_vector_codes": gnat.oracle(),
+    "op12_centroid_clusters": bitplanes.oracle(),
 }
