@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    bagminhash, bitplanes, decontam, differencing, gnat, langid, licenses, line_rules, packing, pii, urls,
-    warc)
+    bagminhash, bitplanes, bytecnn, decontam, differencing, gnat, langid, licenses, line_rules, packing, pii,
+    urls, warc)
 from ledgerloom.llm.common import table
 from ledgerloom.session import shared_dir
 
@@ -61,11 +61,15 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.clustered(table(spark, sf_dir, "embeddings"))
 
 
+def op13_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytecnn.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build
     for build in (op1_license_scan, op2_warc, op3_packing, op4_quality_rules, op5_language_id, op6_url_filter,
                   op7_pii, op8_html_extraction, op9_minhash_near_dedup, op10_benchmark_decontamination,
-                  op11_vector_codes, op12_centroid_clusters)
+                  op11_vector_codes, op12_centroid_clusters, op13_quality_score)
 }
 
 #: Where there is none, SQL lacks the tokenizer, the trained model or the search; tests hold those
