@@ -22,13 +22,14 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
-def export_folder(t: Tables, extra: str = "Balance") -> str:
-    """The raw batches as export files with one column too many."""
+def export_folder(t: Tables, extra: str = "Balance", **changed) -> str:
+    """The raw batches as export files with one column too many, and with ``changed`` columns. Quotes
+    stay bare in values that need none around them."""
     path = shared_dir(t.spark, "inbox")
-    t.raw_transactions.select(
+    t.raw_transactions.withColumns(changed).select(
         *(F.col(raw).alias(header) for header, raw in EXPORT_COLUMNS.items()),
         F.lit("0").alias(extra),
-    ).write.mode("overwrite").option("header", True).option("escape", '"') \
+    ).write.mode("overwrite").option("header", True).option("escape", '"').option("escapeQuotes", not changed) \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
@@ -38,9 +39,21 @@ def read_ledger_export(t: Tables):
     return exports.read_ledger_export(t.spark, export_folder(t)).drop("source_file")
 
 
-@query("read_ledger_export_split", f"SELECT {_LANDED} FROM raw_transactions")
+@query("read_ledger_export_whole", f"SELECT {_LANDED} FROM raw_transactions")
+def read_ledger_export_whole(t: Tables):
+    return exports.read_ledger_export(t.spark, export_folder(t), split=False).drop("source_file")
+
+
+_STRAY = {"place": "CASE WHEN length(place) % 2 = 0 THEN '5\" ' || place ELSE '12\" x ' || place || '\"' END",
+          "note": "'line one, \"' || coalesce(note, '') || '\"' || chr(10) || chr(10) || ' and \"\",'"}
+
+
+@query("read_ledger_export_split", "SELECT " + ", ".join(
+    f"coalesce({_STRAY.get(c, c)}, '') AS {c}" for c in _TEXT) + " FROM raw_transactions")
 def read_ledger_export_split(t: Tables):
-    return exports.read_ledger_export(t.spark, export_folder(t), split=True).drop("source_file")
+    """Quotes inside bare values, and line breaks, quotes and delimiters inside quoted ones."""
+    folder = export_folder(t, **{c: F.expr(sql) for c, sql in _STRAY.items()})
+    return exports.read_ledger_export(t.spark, folder).drop("source_file")
 
 
 @query("latest_file", "SELECT CAST(max(ingestion_id) AS INTEGER) AS batch FROM raw_transactions")

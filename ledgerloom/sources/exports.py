@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.schemas import EXPORT_COLUMNS
+from ledgerloom.sources.records import split_records
 
 CHECKSUM_PRIME = 2 ** 61 - 1
 
@@ -28,54 +29,28 @@ def require_columns(found: list[str], columns: dict[str, str] = EXPORT_COLUMNS)
         raise ValueError("export lacks columns: " + ", ".join(missing))
 
 
-def split_records(
-    spark: SparkSession, path: str | list[str], delimiter: str = ",", quote: str = '"',
-) -> DataFrame:
-    """Rows of UTF-8 exports as text, one column per header and ``source_file``, read in splits.
+def export_headers(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", delimiter: str = ",", quote: str = '"',
+) -> list[str]:
+    """Names in the first record of the first file; none if it is empty."""
+    options = export_options(encoding, delimiter, quote) | {"header": False}
+    first = spark.read.options(**options).csv(path).first()
+    return [(name or "").removeprefix("\ufeff") for name in first or []]
 
-    A line begins a record if an even number of quotes comes before it in its file. Quotes are
-    counted per split first, so each split knows with which parity it begins; lines that continue
-    a record are then put behind the line that begins it, in another split if need be. Doubled
-    quotes inside a value leave the parity as it is. All files must have the columns of the first.
-    """
-    headers = spark.read.options(**export_options("UTF-8", delimiter, quote)).csv(path).columns
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("_at"),
-        F.monotonically_increasing_id().alias("_n"), "value",
-    ).withColumn("_quotes", F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit(""))))
-    # One row per split.
-    earlier = Window.partitionBy("source_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    begins = lines.groupBy("source_file", "_at").agg(F.sum("_quotes").alias("_all")).select(
-        "source_file", "_at", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_before"))
-    in_split = Window.partitionBy("source_file", "_at").orderBy("_n")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    own = F.struct("_at", "_n")
-    marked = (
-        lines.join(begins, ["source_file", "_at"])
-        .withColumn("_start", (F.col("_before") + F.coalesce(F.sum("_quotes").over(so_far), F.lit(0))) % 2 == 0)
-        .withColumn("_record", F.last(F.when(F.col("_start"), own), ignorenulls=True).over(
-            in_split.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    # Lines ahead of a split's first record belong to the last record that began before it.
-    last = marked.groupBy("source_file", "_at").agg(F.max("_record").alias("_last"))
-    carried = last.select("source_file", "_at", F.last("_last", ignorenulls=True).over(earlier).alias("_open"))
-    whole = (
-        marked.join(carried, ["source_file", "_at"])
-        .withColumn("_record", F.coalesce("_record", "_open"))
-        .groupBy("source_file", "_record")
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "_n", "value"))).alias("_lines"))
-        .withColumn("_text", F.array_join(F.transform("_lines", lambda part: part["value"]), "\n"))
-        .withColumn("_text", F.regexp_replace("_text", r"\r\z", ""))
-    )
-    schema = ", ".join(f"`{h}` STRING" for h in headers)
-    parsed = F.from_csv("_text", schema, {"sep": delimiter, "quote": quote, "escape": quote})
-    header_line = (F.col("_record._at") == 0) & (F.col("_record._n") == F.col("_header"))
-    heads = lines.filter("_at = 0").groupBy("source_file").agg(F.min("_n").alias("_header"))
-    return (
-        whole.join(heads, "source_file").filter(~header_line & (F.col("_text") != ""))
-        .select("source_file", parsed.alias("_row")).select("source_file", "_row.*")
-    )
+
+def read_delimited(
+    spark: SparkSession, path: str | list[str], headers: list[str], encoding: str = "UTF-8",
+    delimiter: str = ",", quote: str = '"', multiline: bool = True, split: bool = True,
+) -> DataFrame:
+    """All columns of exports with these headers, as text, with ``source_file``. UTF-8 files are read
+    in splits; others, and those that cannot be, by one task each if values may hold line breaks."""
+    found = None
+    if split and multiline and encoding.upper().replace("-", "") == "UTF8":
+        found = split_records(spark, path, headers, delimiter, quote)
+    if found is None:
+        found = spark.read.options(**export_options(encoding, delimiter, quote, multiline)).csv(path) \
+            .withColumn("source_file", F.col("_metadata.file_path"))
+    return found
 
 
 def read_ledger_export(
@@ -86,27 +61,22 @@ def read_ledger_export(
     quote: str = '"',
     columns: dict[str, str] = EXPORT_COLUMNS,
     multiline: bool = True,
-    split: bool = False,
+    split: bool = True,
 ) -> DataFrame:
     """Read exports as text under their raw column names, with the name of each row's file.
 
     Values stay as they are and other columns are dropped; a missing column or an export
-    without rows is an error. ``multiline`` allows line breaks inside quoted values, at the
-    price of one task per file; ``split`` allows them too and reads a UTF-8 file in as many tasks
-    as it has splits, at the price of a shuffle.
+    without rows is an error. ``multiline`` allows line breaks inside quoted values. A UTF-8 file
+    is read in as many tasks as it has splits; ``split=False`` reads each file by one task.
     """
-    if split:
-        export = split_records(spark, path, delimiter, quote)
-        source = F.col("source_file")
-    else:
-        export = spark.read.options(**export_options(encoding, delimiter, quote, multiline)).csv(path)
-        source = F.col("_metadata.file_path").alias("source_file")
-    require_columns(export.columns, columns)
+    headers = export_headers(spark, path, encoding, delimiter, quote)
+    require_columns(headers, columns)
+    export = read_delimited(spark, path, headers, encoding, delimiter, quote, multiline, split)
     if export.isEmpty():
         raise ValueError("export has no data rows")
     return export.select(
         *(F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(raw) for name, raw in columns.items()),
-        source,
+        "source_file",
     )
 
 

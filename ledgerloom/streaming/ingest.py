@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.schemas import (
-    EXPORT_COLUMNS, FILE_REGISTRY, RATE_PAYLOAD, RATE_TABLE, RAW_RATE_TEXT,
+    ERROR_TEXT_LIMIT, EXPORT_COLUMNS, FILE_REGISTRY, RATE_PAYLOAD, RATE_TABLE, RAW_RATE_TEXT,
+)
+from ledgerloom.sources.exports import (
+    export_options, file_metadata, read_delimited, with_provenance,
 )
-from ledgerloom.sources.exports import export_options, file_metadata, with_provenance
 from ledgerloom.sources.rates import RECORD_SCHEMA, rate_rows, upsert_changed
 from ledgerloom.sources.registry import register_files, registry_transition
 from ledgerloom.sources.sinks import read_version, write_partitions, write_version
@@ -19,15 +19,32 @@ from ledgerloom.sources.sinks import read_version, write_partitions, write_versi
 MAX_FILES = 1000
 
 
-def _headers(spark: SparkSession, paths: list[str], delimiter: str = ",", quote: str = '"') -> DataFrame:
-    """Column names in the first line of each file, read from the first split of it."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("s3_key"), F.col("_metadata.file_block_start").alias("_at"),
-        F.monotonically_increasing_id().alias("_n"), "value",
-    ).filter("_at = 0")
-    first = lines.groupBy("s3_key").agg(F.min_by("value", "_n").alias("_first"))
-    names = F.split(F.replace("_first", F.lit(quote), F.lit("")), f"[{delimiter}]")
-    return first.select("s3_key", F.transform(names, F.btrim).alias("headers"))
+def _headers(spark: SparkSession, paths: list[str], encoding: str, delimiter: str, quote: str) -> DataFrame:
+    """Column names in the first line of each file, read from the first split of it; of a file that
+    is not UTF-8 by the reader of whole files."""
+    if encoding.upper().replace("-", "") == "UTF8":
+        lines = spark.read.text(paths).filter(F.col("_metadata.file_block_start") == 0)
+        names = F.split(F.replace(F.replace("value", F.lit("\ufeff"), F.lit("")), F.lit(quote), F.lit("")),
+                        f"\\x{{{ord(delimiter):x}}}")
+    else:
+        lines = spark.read.options(**export_options(encoding, delimiter, quote) | {"header": False}).csv(paths)
+        names = F.array(*(F.coalesce(c, F.lit("")) for c in lines.columns))
+    order = F.monotonically_increasing_id()
+    return lines.select(F.col("_metadata.file_path").alias("s3_key"), order.alias("_n"), names.alias("_names")) \
+        .groupBy("s3_key").agg(F.min_by("_names", "_n").alias("_names")) \
+        .select("s3_key", F.transform("_names", F.btrim).alias("headers"))
+
+
+def _land(
+    session: SparkSession, files: DataFrame, paths: list[str], headers: tuple, raw_path: str, as_of: Column,
+    loaded_by: str, reader: dict,
+) -> None:
+    """Write the rows of files (s3_key, ingestion_id) that have one header as raw partitions."""
+    rows = read_delimited(session, paths, list(headers), **reader).select(
+        *(F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(c) for h, c in EXPORT_COLUMNS.items()), "source_file")
+    ids = files.select(F.col("s3_key").alias("source_file"), "ingestion_id")
+    landed = rows.join(F.broadcast(ids), "source_file")
+    write_partitions(with_provenance(landed, F.col("ingestion_id"), as_of, loaded_by), raw_path, ["ingestion_id"])
 
 
 def stream_ingest(
@@ -42,12 +59,16 @@ def stream_ingest(
     files_per_batch: int = MAX_FILES,
     multiline: bool = True,
     pattern: str = "*.csv",
+    encoding: str = "UTF-8",
+    delimiter: str = ",",
+    quote: str = '"',
 ) -> StreamingQuery:
     """Land all new export files as raw batches, one ingestion id per file, then stop.
 
     The stream is one of files, so that files without rows are seen too. Files are entered in the
-    same registry, by the same functions, as those of single loads. A file that lacks a column or
-    has no rows is marked ``failed`` and passed over. A micro-batch writes the registry version that
+    same registry, by the same functions, as those of single loads. UTF-8 files are read in splits.
+    A file that lacks a column, has no rows or cannot be read is marked ``failed`` and passed over:
+    files of one header are landed together, and one by one if that fails. A micro-batch writes the registry version that
     bears its own number, built from the version before, and raw partitions are replaced, so one
     that is repeated gives the same tables. The registry is written last: rows without a loaded
     entry are never read.
@@ -55,6 +76,7 @@ def stream_ingest(
     if files_per_batch < 1:
         raise ValueError("files_per_batch must be at least 1")
     system, name, table = source
+    text = {"encoding": encoding, "delimiter": delimiter, "quote": quote}
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -72,35 +94,37 @@ def stream_ingest(
         own = known.join(F.broadcast(batch.select("s3_key")), "s3_key", "left_semi") \
             .filter(F.col("s3_bucket") == inbox)
         required = F.array(*map(F.lit, EXPORT_COLUMNS))
-        checked = own.select("s3_key", "ingestion_id").join(_headers(session, paths), "s3_key", "left") \
+        checked = own.select("s3_key", "ingestion_id").join(_headers(session, paths, **text), "s3_key", "left") \
             .withColumn("missing", F.array_sort(F.array_except(
                 required, F.coalesce("headers", F.array().cast("array<string>"))))).persist()
         good = checked.filter("size(missing) = 0").select("s3_key", "ingestion_id", "headers").collect()
-        options, counts = export_options(multiline=multiline), []
+        reader, unread = text | {"multiline": multiline}, []
         for headers in {tuple(r.headers) for r in good}:
             files = [r.s3_key for r in good if tuple(r.headers) == headers]
-            lines = session.read.options(**options).csv(files)
-            rows = lines.select(
-                *(F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(c) for h, c in EXPORT_COLUMNS.items()),
-                F.col("_metadata.file_path").alias("source_file"),
-            )
-            ids = F.broadcast(checked.select(F.col("s3_key").alias("source_file"), "ingestion_id"))
-            landed = rows.join(ids, "source_file")
-            write_partitions(with_provenance(landed, F.col("ingestion_id"), as_of, loaded_by),
-                             raw_path, ["ingestion_id"])
-            written = session.read.parquet(raw_path).filter(
-                F.col("ingestion_id").isin([r.ingestion_id for r in good if tuple(r.headers) == headers]))
-            counts.append(written.groupBy("ingestion_id").agg(F.count("*").alias("rows_loaded")))
-        if counts:
-            outcome = checked.join(reduce(DataFrame.unionByName, counts), "ingestion_id", "left")
+            try:
+                _land(session, checked, files, headers, raw_path, as_of, loaded_by, reader)
+            except Exception:  # noqa: BLE001 - which file it is shows when each is read alone
+                for file in files:
+                    try:
+                        _land(session, checked, [file], headers, raw_path, as_of, loaded_by, reader)
+                    except Exception as error:  # noqa: BLE001 - on record in the registry
+                        unread.append((file, str(error)[:ERROR_TEXT_LIMIT]))
+        outcome = checked.join(F.broadcast(session.createDataFrame(unread, "s3_key string, unread string")),
+                               "s3_key", "left")
+        if len(unread) < len(good):
+            counts = session.read.parquet(raw_path).filter(F.col("ingestion_id").isin([r.ingestion_id for r in good])) \
+                .groupBy("ingestion_id").agg(F.count("*").alias("rows_loaded"))
+            outcome = outcome.join(counts, "ingestion_id", "left")
         else:
-            outcome = checked.withColumn("rows_loaded", F.lit(None).cast("long"))
+            outcome = outcome.withColumn("rows_loaded", F.lit(None).cast("long"))
         error = F.when(F.size("missing") > 0, F.concat(F.lit("export lacks columns: "), F.array_join("missing", ", "))) \
+            .when(F.col("unread").isNotNull(), F.col("unread")) \
             .when(F.col("rows_loaded").isNull(), "export has no data rows")
         ends = outcome.select(
             F.col("ingestion_id").cast("long").alias("ingestion_id"),
             F.when(error.isNull(), "loaded").otherwise("failed").alias("status"),
-            as_of.cast("timestamp").alias("event_ts"), "rows_loaded", error.alias("error_message"),
+            as_of.cast("timestamp").alias("event_ts"), F.when(error.isNull(), F.col("rows_loaded")).alias("rows_loaded"),
+            error.alias("error_message"),
         )
         starts = ends.select("ingestion_id", F.lit("processing").alias("status"), "event_ts",
                              F.lit(None).cast("long").alias("rows_loaded"),

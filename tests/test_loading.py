@@ -2,10 +2,12 @@
 
 import csv
 import os
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
 import fixture as fx
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from ledgerloom.plans.pipeline import (
 from ledgerloom.schemas import (
     DIM_ACCOUNTS, EXPORT_COLUMNS, FILE_REGISTRY, RATE_STATE, RATE_TABLE, TAG_DICTIONARY,
 )
-from ledgerloom.sources import exports, rates, registry, sinks
+from ledgerloom.sources import exports, rates, records, registry, sinks
+from ledgerloom.streaming import ingest
 from ledgerloom.streaming.ingest import stream_ingest
 
 
@@ -270,6 +273,110 @@ def test_quoted_line_breaks_survive_any_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def _value(rng, broken):
+    kind = rng.random()
+    if kind < 0.3:
+        return rng.choice(["", "ab", 'é"', ' "a"', " ", '5" pipe', '5" pipe "x"', "a" * 30])
+    if kind < 0.7:
+        inner = (rng.choice(["a", "b", ",", "\n", '""', " ", "\r\n", "é"]) for _ in range(rng.randrange(9)))
+        return '"' + "".join(inner) + '"'
+    # Text behind a closing quote, where readers differ in the value but not in the record.
+    return '"a"' + rng.choice([" ", "x", " x", ' "y"']) if broken else "plain"
+
+
+@pytest.mark.parametrize("size", ["23b", "128m"])
+@pytest.mark.parametrize("seed", range(4))
+def test_split_reader_agrees_with_others(spark, tmp_path, size, seed):
+    rng, broken = random.Random(seed), seed % 2 == 1
+    end = "\r\n" if seed > 1 else "\n"
+    body = "".join(",".join(_value(rng, broken) for _ in range(3)) + end for _ in range(rng.randrange(1, 60)))
+    text = ("\ufeff" if seed == 0 else "") + "H1,H2,H3" + end + body
+    (tmp_path / "a.csv").write_bytes((text.rstrip("\r\n") if seed % 3 else text).encode())
+    path = str(tmp_path / "a.csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        headers = exports.export_headers(spark, path)
+        assert headers == ["H1", "H2", "H3"]
+        found = records.split_records(spark, path, headers)
+        got = sorted(tuple(x or "" for x in r[1:]) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    one_task = spark.read.options(**exports.export_options()).csv(path)
+    # Where lines end with \r\n the reader of whole files also turns those inside quotes into \n.
+    plain = lambda rows: sorted(tuple(x.replace("\r\n", "\n") for x in r) for r in rows)
+    assert plain(got) == plain([tuple(x or "" for x in r) for r in one_task.collect()])
+    if not broken:
+        with open(path, newline="", encoding="utf-8-sig") as lines:
+            rows = [tuple(r) for r in csv.reader(lines) if r][1:]
+        assert got == sorted((*r, "", "")[:3] for r in rows)
+
+
+def test_a_stray_quote_loses_no_rows(spark, tmp_path):
+    rows = [dict(fx.BOOKINGS[0], source_number=str(n), place=p) for n, p in enumerate(['5" pipe', "2", "3", "4"])]
+    lines = [",".join(EXPORT_COLUMNS)] + [",".join(b.get(c, "") for c in EXPORT_COLUMNS.values()) for b in rows]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    for split in (True, False):
+        got = exports.read_ledger_export(spark, str(tmp_path), split=split).collect()
+        assert sorted((r.source_number, r.place) for r in got) == [("0", '5" pipe'), ("1", "2"), ("2", "3"), ("3", "4")]
+
+
+def test_states_run_through_lines():
+    rng = np.random.default_rng(2)
+    for start in (False, True):
+        bare, quoted = rng.random(200) < 0.4, rng.random(200) < 0.6
+        want = [start]
+        for b, q in zip(bare, quoted):
+            want.append(bool(q if want[-1] else b))
+        assert records.walk(bare, quoted, start).tolist() == want
+
+
+def test_files_that_need_a_whole_reader(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"H1,H2\rx,1\ry,2\r")
+    assert records.split_records(spark, str(tmp_path / "a.csv"), ["H1", "H2"]) is None
+    assert exports.read_delimited(spark, str(tmp_path / "a.csv"), ["H1", "H2"]).count() == 2
+    (tmp_path / "b.csv").write_text('H1,H2\n"x\ny",1\n"x\n\n\ny",2\n')
+    assert records.split_records(spark, str(tmp_path / "b.csv"), ["H1", "H2"], delimiter="||") is None
+    other = records.split_records(spark, str(tmp_path / "b.csv"), ["H1", "H3"])
+    with pytest.raises(Exception, match="another header: H1,H2"):
+        other.collect()
+
+
+def test_stream_reads_other_delimiters_and_encodings(spark, tmp_path):
+    for name, encoding in (("one", "UTF-8"), ("two", "UTF-16")):
+        inbox = tmp_path / name / "in"
+        inbox.mkdir(parents=True)
+        with open(inbox / "a.csv", "w", newline="", encoding=encoding) as out:
+            writer = csv.writer(out, delimiter=";", quotechar="'")
+            writer.writerow(EXPORT_COLUMNS)
+            writer.writerow([dict(ODD_NOTE, place="дом; 'сад'\n1").get(c, "") for c in EXPORT_COLUMNS.values()])
+        raw, entries, state = (str(tmp_path / name / n) for n in ("raw", "registry", "state"))
+        stream_ingest(spark, str(inbox), raw, entries, state, fx.SOURCE, now(), encoding=encoding,
+                      delimiter=";", quote="'").awaitTermination()
+        rows = spark.read.parquet(raw).collect()
+        assert [(r.place, r.note) for r in rows] == [("дом; 'сад'\n1", ODD_NOTE["note"])]
+
+
+def test_a_file_that_cannot_be_read_does_not_stop_the_stream(spark, tmp_path, monkeypatch):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for name in "abc":
+        write_export(inbox / f"{name}.csv", fx.BOOKINGS)
+    read = ingest.read_delimited
+
+    def breaking(session, paths, *args, **options):
+        if any(p.endswith("b.csv") for p in paths):
+            raise OSError("block is lost")
+        return read(session, paths, *args, **options)
+
+    monkeypatch.setattr(ingest, "read_delimited", breaking)
+    raw, entries, state = (str(tmp_path / n) for n in ("raw", "registry", "state"))
+    stream_ingest(spark, str(inbox), raw, entries, state, fx.SOURCE, now()).awaitTermination()
+    log, _ = sinks.read_version(spark, entries, FILE_REGISTRY)
+    got = {os.path.basename(r.s3_key): (r.status, r.rows_loaded, r.error_message) for r in log.collect()}
+    assert got == {"a.csv": ("loaded", 5, None), "b.csv": ("failed", None, "block is lost"), "c.csv": ("loaded", 5, None)}
+
+
 def test_only_the_newest_versions_are_kept_and_read(spark, tmp_path):
     path = str(tmp_path / "t")
     for n in range(1, 6):
