@@ -282,6 +282,16 @@ def upsert_changed_shuffled(t: Tables):
     return rates.upsert_changed(*_halves(t), RATE_PAYLOAD, max_broadcast_rows=0)
 
 
+@query("merge_partitions", "SELECT * EXCLUDE (change) FROM (" + _MERGED + ")")
+def merge_partitions(t: Tables):
+    """The full merge, written: existing rates by year, then the years that incoming rates change."""
+    path = shared_dir(t.spark, "rates")
+    existing, incoming = _halves(t)
+    for version, rows in enumerate((existing, incoming, incoming), 1):
+        rates.merge_rates(t.spark, path, rows, RATE_PAYLOAD, version, as_of(), "ledgerloom")
+    return rates.read_rate_table(t.spark, path)[0].select(*RAW_RATE_TEXT)
+
+
 _STATE = """
     SELECT 'cbr' AS source, 'U' || user_id AS currency_code, max(ts) AS last_checked_at,
            CAST(min(ts) AS DATE) AS last_requested_through,

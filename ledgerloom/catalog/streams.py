@@ -9,8 +9,9 @@ from ledgerloom.catalog.landing import (
     _CLEAN, _LANDED, _NEW_AMOUNT, _TEXT, _catalog, as_of, export_folder, rate_documents,
 )
 from ledgerloom.catalog.registry import query
-from ledgerloom.schemas import FILE_REGISTRY, RATE_TABLE, RAW_RATE_TEXT
+from ledgerloom.schemas import FILE_REGISTRY, RAW_RATE_TEXT
 from ledgerloom.session import shared_dir
+from ledgerloom.sources.rates import read_rate_table
 from ledgerloom.sources.sinks import read_version
 from ledgerloom.streaming.ingest import stream_ingest, stream_upsert_rates
 
@@ -30,13 +31,18 @@ def stream_exports(t: Tables):
     return rows.join(known, "ingestion_id", "left").select(*_TEXT, "is_registered")
 
 
+# Three overlapping waves: even rates; most rates, some corrected; a third of them, corrected once more.
+_THIRD = "CASE WHEN raw_id % 7 < 3 THEN '7' || quote_amount ELSE quote_amount END"
+
+
 @query("stream_upsert_rates", f"""
     SELECT 'cbr' AS source, arg_max(source_rate_key, wave) AS source_rate_key, rate_date,
            base_currency, arg_max(base_amount, wave) AS base_amount, 'RUB' AS quote_currency,
            arg_max(quote_amount, wave) AS quote_amount
     FROM (SELECT *, 1 AS wave FROM ({_CLEAN}) WHERE raw_id % 2 = 0
           UNION ALL SELECT * REPLACE ({_NEW_AMOUNT} AS quote_amount), 2 FROM ({_CLEAN})
-          WHERE raw_id % 3 <> 2 OR raw_id % 2 = 1)
+          WHERE raw_id % 3 <> 2 OR raw_id % 2 = 1
+          UNION ALL SELECT * REPLACE ({_THIRD} AS quote_amount), 3 FROM ({_CLEAN}) WHERE raw_id % 3 = 0)
     GROUP BY rate_date, base_currency
 """)
 def stream_rates(t: Tables):
@@ -45,9 +51,10 @@ def stream_rates(t: Tables):
     waves = (
         t.raw_rates.filter("raw_id % 2 = 0"),
         t.raw_rates.filter("raw_id % 3 <> 2 OR raw_id % 2 = 1").withColumn("quote_amount", F.expr(_NEW_AMOUNT)),
+        t.raw_rates.filter("raw_id % 3 = 0").withColumn("quote_amount", F.expr(_THIRD)),
     )
-    # The second wave overlaps the first and corrects some of its rates.
+    # Each start goes on from the checkpoint of the one before.
     for rows in waves:
         rate_documents(rows, inbox)
         stream_upsert_rates(t.spark, inbox, table, state, catalog, as_of()).awaitTermination()
-    return read_version(t.spark, table, RATE_TABLE)[0].select(*RAW_RATE_TEXT)
+    return read_rate_table(t.spark, table)[0].select(*RAW_RATE_TEXT)

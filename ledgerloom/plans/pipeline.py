@@ -16,7 +16,8 @@ from ledgerloom.plans import marts, monitoring
 from ledgerloom.plans.core import core_rates, core_transactions
 from ledgerloom.plans.staging import stg_rates, stg_transactions
 from ledgerloom.quality import suite
-from ledgerloom.schemas import FILE_REGISTRY, RATE_PAYLOAD, RATE_STATE, RATE_TABLE, RAW_RATE_TEXT
+from ledgerloom.operators.joins import lookup_join
+from ledgerloom.schemas import FILE_REGISTRY, RATE_PAYLOAD, RATE_STATE, RAW_RATE_TEXT
 from ledgerloom.sources import exports, rates, registry, sinks
 
 
@@ -77,7 +78,7 @@ def load_exchange_rates(
     count; a currency asked for the first time must have some.
     """
     state, state_version = sinks.read_version(spark, state_path, RATE_STATE)
-    table, table_version = sinks.read_version(spark, table_path, RATE_TABLE)
+    _, table_version = rates.read_rate_table(spark, table_path)
     due = rates.refresh_due(requested, state, as_of)
     if due.isEmpty():
         return "skipped"
@@ -90,26 +91,19 @@ def load_exchange_rates(
     day = parse_date_by_source(F.col("rate_date"), F.col("source"))
     fetched = (
         rates.read_rates_xml(spark, documents, catalog, source).withColumn("_day", day)
-        .join(F.broadcast(window), ["source", "base_currency"])
+    )
+    fetched = (
+        lookup_join(fetched, window, ["source", "base_currency"], "inner")
         .filter(F.col("_day").between(F.col("start_date"), F.col("end_date")))
     )
     typed = fetched.select("source", "base_currency", F.col("_day").alias("rate_date"))
     rates.refuse(rates.empty_first_loads(due, typed), "no rates for new currencies")
-    touched = {
-        "raw_id": F.coalesce("raw_id", F.xxhash64("source", "rate_date", "base_currency",
-                                                  "quote_currency")),
-        "ingested_at": as_of.cast("timestamp"), "ingested_by": F.lit(loaded_by),
-    }
     # Of several documents with one date the one written last counts.
-    merged = rates.upsert_changed(table, fetched.select(*RAW_RATE_TEXT, "_modified"),
-                                  ["_modified", *RATE_PAYLOAD], touched=touched).persist()
-    changed = merged.filter(F.col("change") != "none")
-    sinks.write_version(merged.drop("change"), table_path, table_version + 1)
+    changed = rates.merge_rates(spark, table_path, fetched.select(*RAW_RATE_TEXT, "_modified"),
+                                ["_modified", *RATE_PAYLOAD], table_version + 1, as_of, loaded_by)
     moved = rates.rate_state(state, due, typed, changed, end, as_of)
     sinks.write_version(moved, state_path, state_version + 1)
-    any_change = not changed.isEmpty()
-    merged.unpersist()
-    return "loaded" if any_change else "skipped"
+    return "skipped" if changed.isEmpty() else "loaded"
 
 
 CHECK_KEY = ["target_name", "invocation_id", "unique_id"]
@@ -215,11 +209,18 @@ def build_layers(
     return layers
 
 
+OUTCOMES = ("loaded", "skipped")
+
+
 def run_all(
     load_exports: Callable[[], str], load_rates: Callable[[], str],
     build: Callable[[], dict[str, DataFrame]],
 ) -> dict[str, DataFrame] | None:
     """One whole run: exports, then rates (which ask for the ledger's dates), then the layers,
-    unless neither brought anything new."""
-    outcomes = [load_exports(), load_rates()]
+    unless neither brought anything new. A load that ends in another word is an error."""
+    outcomes = []
+    for load in (load_exports, load_rates):
+        outcomes.append(load())
+        if outcomes[-1] not in OUTCOMES:
+            raise ValueError(f"a load ends as one of {OUTCOMES}, not {outcomes[-1]!r}")
     return None if all(o == "skipped" for o in outcomes) else build()

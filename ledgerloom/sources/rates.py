@@ -8,12 +8,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import clean_text, normalize_code
+from ledgerloom.functions.text import clean_text, normalize_code, parse_date_by_source
 from ledgerloom.operators.joins import MAX_BROADCAST_ROWS, is_small, lookup_join
 from ledgerloom.schemas import (
-    FX_INITIAL_LOOKBACK_DAYS, FX_REFRESH_MINUTES, FX_RELOAD_LOOKBACK_DAYS, RATE_KEY, RATE_PAYLOAD,
-    REFERENCE_CURRENCIES,
+    FX_INITIAL_LOOKBACK_DAYS, FX_REFRESH_MINUTES, FX_RELOAD_LOOKBACK_DAYS, RATE_DATE_FORMATS, RATE_KEY,
+    RATE_PAYLOAD, RATE_TABLE, REFERENCE_CURRENCIES,
 )
+from ledgerloom.sources.partitions import merge_partitions, read_partitions
 
 RECORD_SCHEMA = "_Date STRING, Nominal STRING, Value STRING"
 VALUTE_SCHEMA = "_ID STRING, CharCode STRING"
@@ -127,6 +128,43 @@ def upsert_changed(
     ), "change")
 
 
+#: Rates are kept in one partition a year.
+RATE_PARTITION = "rate_year"
+
+
+def rate_year(
+    date: Column, source: Column, formats: dict[str, str] = RATE_DATE_FORMATS
+) -> Column:
+    """Partition of a rate: the year in its date text, or ``undated`` if that does not parse."""
+    day = parse_date_by_source(clean_text(date), clean_text(source), formats, strict=False)
+    return F.coalesce(F.date_format(day, "yyyy"), F.lit("undated"))
+
+
+def read_rate_table(spark: SparkSession, path: str, below: int | None = None) -> tuple[DataFrame, int]:
+    """The stored rates and the number of their newest write."""
+    table, version = read_partitions(spark, path, RATE_TABLE, [RATE_PARTITION], below)
+    return table.drop(RATE_PARTITION), version
+
+
+def merge_rates(
+    spark: SparkSession, path: str, incoming: DataFrame, order: list[str], version: int, as_of: Column,
+    loaded_by: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Merge text rate rows into the stored table as write ``version``: only years with a changed rate are
+    written anew. The result is the rows inserted or updated."""
+    rows = incoming.withColumn(RATE_PARTITION, rate_year(F.col("rate_date"), F.col("source")))
+    touched = {
+        "raw_id": F.coalesce("raw_id", F.xxhash64(*RATE_KEY)),
+        "ingested_at": as_of.cast("timestamp"), "ingested_by": F.lit(loaded_by),
+    }
+
+    def merge(present: DataFrame, new: DataFrame) -> DataFrame:
+        return upsert_changed(present, new, order, [*RATE_KEY, RATE_PARTITION], touched=touched,
+                              max_broadcast_rows=max_broadcast_rows)
+
+    return merge_partitions(spark, path, RATE_TABLE, [RATE_PARTITION], version, rows, merge)
+
+
 def refresh_due(
     requested: DataFrame, state: DataFrame, as_of: Column, minutes: int = FX_REFRESH_MINUTES,
     reference_currencies: dict[str, str] = REFERENCE_CURRENCIES,
@@ -135,6 +173,8 @@ def refresh_due(
 
     A source's own reference currency is never requested.
     """
+    if minutes < 1:
+        raise ValueError("rates are refreshed after at least one minute")
     own = F.lit(False)
     for source, currency in reference_currencies.items():
         own = own | ((F.col("source") == source) & (F.col("currency_code") == currency))
@@ -159,6 +199,8 @@ def request_window(
     corrections; a new one starts before the first ledger date. ``ledger_dates`` has one
     date column ``transaction_date``.
     """
+    if lookback_days < 0 or reload_days < 0:
+        raise ValueError("days to look back must not be negative")
     first = ledger_dates.agg(F.min("transaction_date")).scalar()
     initial = F.date_sub(F.coalesce(first, end_date), lookback_days)
     start = F.coalesce(F.date_sub("last_requested_through", reload_days), initial)

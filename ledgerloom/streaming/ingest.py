@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.schemas import (
-    ERROR_TEXT_LIMIT, EXPORT_COLUMNS, FILE_REGISTRY, RATE_PAYLOAD, RATE_TABLE, RAW_RATE_TEXT,
+    ERROR_TEXT_LIMIT, EXPORT_COLUMNS, FILE_REGISTRY, RATE_KEY, RATE_PAYLOAD,
 )
 from ledgerloom.sources.exports import (
     export_options, file_metadata, read_delimited, with_provenance,
 )
-from ledgerloom.sources.rates import RECORD_SCHEMA, rate_rows, upsert_changed
+from ledgerloom.sources.rates import RECORD_SCHEMA, merge_rates, rate_rows
 from ledgerloom.sources.registry import register_files, registry_transition
 from ledgerloom.sources.sinks import read_version, write_partitions, write_version
 
@@ -157,28 +157,27 @@ def stream_upsert_rates(
 ) -> StreamingQuery:
     """Merge new rate documents (folders ``currency=XXX``) into the rate table, then stop.
 
-    Documents may overlap earlier ones: unchanged rates stay, corrected ones are updated. A
-    micro-batch writes the table version that bears its own number, built from the version
-    before, so repeating it gives the same table.
+    Documents may overlap earlier ones, and may come out of order: for each rate the state store keeps
+    the row of the document written last, whichever micro-batch brought it, and only rates that
+    a micro-batch touched leave the state. Of those, unchanged ones stay, and years with a
+    corrected or new rate are written anew. A micro-batch is the table's write that bears its own number,
+    built from the write before, so repeating it gives the same table.
     """
     records = spark.readStream.format("xml").option("rowTag", "Record").option(
         "maxFilesPerTrigger", files_per_batch
     ).schema(RECORD_SCHEMA + ", currency STRING").load(inbox).select(
         "*", F.col("_metadata.file_modification_time").alias("_modified")
     )
+    order = F.struct("_modified", *RATE_PAYLOAD)
+    last = rate_rows(records, catalog, source).groupBy(*RATE_KEY).agg(
+        F.max_by(F.struct("_modified", *RATE_PAYLOAD), order).alias("_last")
+    ).select(*RATE_KEY, "_last.*")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        current, _ = read_version(session, table_path, RATE_TABLE, below=batch_id + 1)
-        incoming = rate_rows(batch, catalog, source)
-        touched = {
-            "raw_id": F.coalesce("raw_id", F.xxhash64(*RAW_RATE_TEXT[:4], "quote_currency")),
-            "ingested_at": as_of.cast("timestamp"), "ingested_by": F.lit(loaded_by),
-        }
-        merged = upsert_changed(current, incoming, ["_modified", *RATE_PAYLOAD], touched=touched)
-        write_version(merged.drop("change"), table_path, batch_id + 1)
+        merge_rates(batch.sparkSession, table_path, batch, ["_modified", *RATE_PAYLOAD], batch_id + 1, as_of,
+                    loaded_by)
 
     return (
-        records.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        last.writeStream.outputMode("update").foreachBatch(merge)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

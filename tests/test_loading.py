@@ -16,11 +16,11 @@ from ledgerloom.plans.pipeline import (
     Reference, build_layers, load_exchange_rates, load_latest_export, log_checks, run_all,
 )
 from ledgerloom.schemas import (
-    DIM_ACCOUNTS, EXPORT_COLUMNS, FILE_REGISTRY, RATE_STATE, RATE_TABLE, TAG_DICTIONARY,
+    DIM_ACCOUNTS, EXPORT_COLUMNS, FILE_REGISTRY, RATE_STATE, TAG_DICTIONARY,
 )
-from ledgerloom.sources import exports, rates, records, registry, sinks
+from ledgerloom.sources import exports, partitions, rates, records, registry, sinks
 from ledgerloom.streaming import ingest
-from ledgerloom.streaming.ingest import stream_ingest
+from ledgerloom.streaming.ingest import stream_ingest, stream_upsert_rates
 
 
 def write_export(path, bookings, headers=None):
@@ -133,7 +133,7 @@ def test_rates_are_merged_when_due(spark, tmp_path):
         load("2026-08-02 12:00:00", "EUR")
     assert load("2026-08-02 12:00:00", "RUB") == "skipped"
     assert load("2026-08-02 12:00:00", "USD", "KGS", "RUB") == "loaded"
-    rows, _ = sinks.read_version(spark, table, RATE_TABLE)
+    rows, _ = rates.read_rate_table(spark, table)
     assert {(r.base_currency, r.rate_date, r.quote_amount) for r in rows.collect()} == {
         ("USD", "01.08.2026", "90,5"), ("USD", "02.08.2026", "90,6"), ("KGS", "01.08.2026", "10,3")}
     assert load("2026-08-02 17:59:00", "USD", "KGS") == "skipped"
@@ -146,7 +146,7 @@ def test_rates_are_merged_when_due(spark, tmp_path):
     _rate_files(documents, "USD", [("02.08.2026", "1", "9"), ("03.08.2026", "1", "92")])
     os.utime(documents / "currency=USD" / "1.xml", (2_000_000_000, 2_000_000_000))
     assert load("2026-08-03 12:00:00", "USD") == "loaded"
-    rows, _ = sinks.read_version(spark, table, RATE_TABLE)
+    rows, _ = rates.read_rate_table(spark, table)
     got = {r.rate_date: r for r in rows.filter("base_currency = 'USD'").collect()}
     assert {d: r.quote_amount for d, r in got.items()} == {
         "01.08.2026": "90,5", "02.08.2026": "9", "03.08.2026": "92"}
@@ -155,6 +155,81 @@ def test_rates_are_merged_when_due(spark, tmp_path):
     assert {r.currency_code: r.last_rows_affected for r in moved.collect()} == {"USD": 2, "KGS": 0}
 
 
+def _files(folder):
+    return {str(f): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_a_correction_touches_only_its_year(spark, tmp_path):
+    inbox, table, state = tmp_path / "in", tmp_path / "table", str(tmp_path / "state")
+    catalog = spark.createDataFrame([("USD", "R1"), ("KGS", "R2")], "currency_code string, currency_id string")
+
+    def run(at):
+        stream_upsert_rates(spark, str(inbox), str(table), state, catalog, now(at)).awaitTermination()
+        rows, version = rates.read_rate_table(spark, str(table))
+        return {(r.base_currency, r.rate_date): (r.quote_amount, str(r.ingested_at)[:10]) for r in rows.collect()}, version
+
+    def files(year):
+        return {f: t for f, t in _files(table / "rows").items() if f"rate_year={year}" in f}
+
+    _rate_files(inbox, "USD", [("01.07.2025", "1", "80"), ("01.08.2026", "1", "90"), ("02.08.2026", "1", "91")])
+    _rate_files(inbox, "KGS", [("01.07.2025", "10", "10"), ("31.13.2026", "1", "5")])
+    got, version = run("2026-08-10 00:00:00")
+    assert got[("USD", "01.08.2026")] == ("90", "2026-08-10") and len(got) == 5 and version == 1
+    before_last, undated, last = files("2025"), files("undated"), files("2026")
+    assert before_last and undated and last
+    # Only 2026 is corrected, and 2025 comes again as it was; a document written earlier does not count.
+    _rate_files(inbox, "USD", [("01.08.2026", "1", "9"), ("01.07.2025", "1", "80")])
+    _rate_files(inbox, "USD", [("02.08.2026", "1", "1")])
+    os.utime(inbox / "currency=USD" / "1.xml", (2_000_000_000, 2_000_000_000))
+    os.utime(inbox / "currency=USD" / "2.xml", (1_000_000_000, 1_000_000_000))
+    got, version = run("2026-08-11 00:00:00")
+    assert got[("USD", "01.08.2026")] == ("9", "2026-08-11") and got[("USD", "02.08.2026")] == ("91", "2026-08-10")
+    assert got[("USD", "01.07.2025")] == ("80", "2026-08-10") and len(got) == 5 and version == 2
+    assert files("2025") == before_last and files("undated") == undated and len(files("2026")) > len(last)
+    # An older document in a later start finds the newer one in the state.
+    _rate_files(inbox, "USD", [("01.08.2026", "1", "3")])
+    os.utime(inbox / "currency=USD" / "3.xml", (1_900_000_000, 1_900_000_000))
+    before = _files(table / "rows")
+    assert run("2026-08-12 00:00:00") == (got, 2) and _files(table / "rows") == before
+
+
+def test_partitions_are_replaced_whole_and_again(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "n long, p string, q string"
+    frame = lambda *rows: spark.createDataFrame(rows, schema)
+    read = lambda **at: sorted(map(tuple, partitions.read_partitions(
+        spark, path, frame().schema, ["p", "q"], **at)[0].collect()))
+    assert read() == []
+    partitions.write_partitions_as(frame((1, "a/b", "x"), (2, "c", "x y")), path, ["p", "q"], 1)
+    for _ in range(2):  # a write that is repeated replaces itself
+        partitions.write_partitions_as(frame((3, "c", "x y"), (4, "=", "%")), path, ["p", "q"], 2)
+    assert read() == [(1, "a/b", "x"), (3, "c", "x y"), (4, "=", "%")]
+    assert read(below=2) == [(1, "a/b", "x"), (2, "c", "x y")]
+    partitions.write_partitions_as(frame(), path, ["p", "q"], 3, emptied=[("=", "%")])
+    assert read() == [(1, "a/b", "x"), (3, "c", "x y")]
+    # A write that never published its list is not seen, and folders out of use are removed.
+    frame((9, "c", "z")).write.partitionBy("p", "q").parquet(f"{path}/rows/_written=4")
+    assert read() == [(1, "a/b", "x"), (3, "c", "x y")]
+    for version in range(5, 9):
+        partitions.write_partitions_as(frame((version, "a/b", "x"), (version, "c", "x y")), path, ["p", "q"], version)
+    assert read() == [(8, "a/b", "x"), (8, "c", "x y")]
+    assert sorted(os.listdir(f"{path}/rows")) == [f"_written={v}" for v in (6, 7, 8)]
+    plan = partitions.read_partitions(spark, path, frame().schema, ["p", "q"])[0] \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [concat_ws" in plan
+
+
+def test_settings_are_checked(spark):
+    wanted = spark.createDataFrame([("cbr", "USD")], "source string, currency_code string")
+    state, dates = spark.createDataFrame([], RATE_STATE), spark.createDataFrame([(None,)], "transaction_date date")
+    with pytest.raises(ValueError, match="at least one minute"):
+        rates.refresh_due(wanted, state, now(), minutes=0)
+    for days in ({"lookback_days": -1}, {"reload_days": -1}):
+        with pytest.raises(ValueError, match="negative"):
+            rates.request_window(wanted, dates, now().cast("date"), **days)
+    with pytest.raises(ValueError, match="not 'done'"):
+        run_all(lambda: "done", lambda: "loaded", dict)
+
+
 def test_new_currency_without_rates_is_an_error(spark, tmp_path):
     (tmp_path / "catalog.xml").write_text(
         '<ValCurs><Valute ID="R1"><CharCode>USD</CharCode></Valute></ValCurs>')
