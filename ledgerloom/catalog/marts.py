@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import derived, oracle
 from ledgerloom.catalog.derived import Tables
 from ledgerloom.catalog.registry import query
-from ledgerloom.plans import dashboards, marts, monitoring
+from ledgerloom.plans import dashboards, incremental, marts, monitoring
 from ledgerloom.plans.core import core_rates
+from ledgerloom.session import shared_dir
 
 EVENTS_AS_OF = f"TIMESTAMP '{derived.EVENTS_AS_OF}'"
 
@@ -54,6 +57,39 @@ def balance_mart_masked(t: Tables) -> DataFrame:
     )
 
 
+def _earlier(t: Tables):
+    """What a first build saw: half of the bookings of late years, and rates before some were corrected."""
+    seen = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 0
+    ledger = t.stored_ledger()
+    rates = t.stored_rates()
+    wrong = F.when(F.expr("raw_id % 50 = 3"), F.col("rate") + 1).otherwise(F.col("rate")).cast("decimal(24,12)")
+    part = ledger.filter(seen | (F.col("transaction_ts") < "1997-01-01") | F.col("transaction_ts").isNull())
+    return ledger, rates, part, rates.withColumn("rate", wrong)
+
+
+@query("fact_mart_refreshed", "SELECT * FROM facts")
+def fact_mart_refreshed(t: Tables) -> DataFrame:
+    """Built from earlier bookings and rates, then brought up to date: equal to the full mart."""
+    path = shared_dir(t.spark, "facts")
+    ledger, rates, part, wrong = _earlier(t)
+    for rows, points in ((part, wrong), (part, rates), (ledger, rates), (ledger, rates)):
+        incremental.refresh_fact_mart(t.spark, path, rows, points, t.recurring_tag, t.reserve_tag)
+    schema = marts.fact_mart(ledger, rates, t.recurring_tag, t.reserve_tag).schema
+    return incremental.read_fact_mart(t.spark, path, schema)
+
+
+@query("balance_mart_refreshed", "SELECT * FROM balances")
+def balance_mart_refreshed(t: Tables) -> DataFrame:
+    """Built on an earlier day from earlier bookings and rates, then brought up to date."""
+    path = shared_dir(t.spark, "balances")
+    ledger, rates, part, wrong = _earlier(t)
+    today = date.fromisoformat(derived.AS_OF)
+    for rows, points, day in ((part, wrong, today - timedelta(100)), (part, rates, today), (ledger, rates, today),
+                              (ledger, rates, today)):
+        incremental.refresh_balance_mart(t.spark, path, rows, points, day)
+    return incremental.read_balance_mart(t.spark, path, marts.balance_mart(ledger, rates, t.as_of).schema)
+
+
 _SECONDS = f"CAST(round((epoch_us({EVENTS_AS_OF}) - epoch_us(finished_at)) / 1000000) AS BIGINT)"
 
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.amounts import mask_amount
 from ledgerloom.functions.labels import account_type, display_type, expense_type
-from ledgerloom.operators.balances import daily_balances
+from ledgerloom.operators.balances import balance_intervals
 from ledgerloom.operators.batches import filter_active
 from ledgerloom.operators.conversion import convert_to_targets
 from ledgerloom.operators.masking import composite_key_left, redact_columns, two_hop_dim
-from ledgerloom.operators.periods import lateral_unpivot, period_ends
+from ledgerloom.operators.periods import calendar_spine, lateral_unpivot, period_ends
 from ledgerloom.operators.tags import tag_flags, tag_membership_join
 from ledgerloom.operators.targets import target_currency_set
 from ledgerloom.schemas import GRAINS, PIVOT_CURRENCY
@@ -110,9 +110,18 @@ def fact_mart_masked(
 
 
 def _balance_rows(active, ledger, rates, as_of, pivot, numeric, grains, targets):
-    ends = period_ends(daily_balances(active, as_of), "period_end", as_of, grains)
+    runs = balance_intervals(active, as_of)
+    return balances_of_runs(runs, rates, as_of, _targets(targets, rates, ledger, pivot), pivot, numeric, grains)
+
+
+def balances_of_runs(
+    runs: DataFrame, rates: DataFrame, as_of: Column, targets: DataFrame, pivot: str = PIVOT_CURRENCY,
+    numeric: str = "decimal", grains: list[str] = GRAINS,
+) -> DataFrame:
+    """Rows of the balance mart for runs of days with one balance (``balance_intervals``)."""
+    days = calendar_spine(runs, "valid_from", F.col("valid_to"), "period_end").drop("valid_from", "valid_to")
     return convert_to_targets(
-        ends, rates, _targets(targets, rates, ledger, pivot), "balance",
+        period_ends(days, "period_end", as_of, grains), rates, targets, "balance",
         F.col("period_end"), "balance_converted", pivot=pivot, numeric=numeric,
     ).select(*_BALANCE_COLUMNS)
 
