@@ -22,9 +22,11 @@ LAYER_SEVERITY = {"stg": "warn", "core": "error", "dm": "warn", "dm_demo": "warn
 
 @dataclass
 class Suite:
-    """Checks by table. Row checks of one table are counted in a single pass over it."""
+    """Checks by table. Row checks of one table are counted in a single pass over it, and so are
+    all checks for repeated keys, with one shuffle."""
 
     rows: list[tuple[str, DataFrame, str, str, Column]] = field(default_factory=list)
+    repeats: list[tuple[str, DataFrame, str, str, list[str], bool]] = field(default_factory=list)
     keys: list[tuple[str, str, str, DataFrame]] = field(default_factory=list)
 
     def _severity(self, model: str, severity: str | None) -> str:
@@ -56,9 +58,22 @@ class Suite:
 
     def unique(self, model: str, df: DataFrame, *columns: str) -> Suite:
         for c in columns:
-            self.key(model, f"unique_{c}", checks.unique(df, c))
+            self.repeats.append((model, df, f"unique_{c}", self._severity(model, None), [c], False))
         return self
 
+    def unique_combination(self, model: str, df: DataFrame, columns: list[str]) -> Suite:
+        self.repeats.append((model, df, "unique_combination", self._severity(model, None), columns, True))
+        return self
+
+    def related(self, model: str, df: DataFrame, name: str, column: str, parent: DataFrame, parent_column: str,
+                where: str, max_inline: int = 500) -> Suite:
+        """Values need a parent where ``where`` holds. Few parents are looked up in the pass over the rows."""
+        found = parent.select(parent_column).distinct().limit(max_inline + 1).collect()
+        if len(found) > max_inline:
+            return self.key(model, name, checks.relationships(df, column, parent, parent_column, where))
+        known = [r[0] for r in found if r[0] is not None]
+        return self.row(model, df, name, F.expr(where) & ~F.col(column).isin(known))
+
     def run(self) -> DataFrame:
         """One row per check: model_name, test_name, severity, failures, status."""
         counted = []
@@ -74,6 +89,8 @@ class Suite:
             )))
             counted.append(counts.select(F.lit(model).alias("model_name"), results.alias("r"))
                            .select("model_name", "r.*"))
+        for df in {id(d): d for _, d, *_ in self.repeats}.values():
+            counted.append(_repeated([r for r in self.repeats if r[1] is df], df))
         for model, name, severity, failing in self.keys:
             counted.append(failing.agg(F.count(F.lit(1)).alias("failures")).select(
                 F.lit(model).alias("model_name"), F.lit(name).alias("test_name"),
@@ -84,6 +101,32 @@ class Suite:
         return reduce(DataFrame.unionByName, counted).withColumn("status", status)
 
 
+def _key_hash(columns: list[str]) -> list[Column]:
+    """128 bits that stand for the values of some columns and for which of them are NULL. That two keys
+    among 10^12 have one hash has a probability of about 10^-15."""
+    missing = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns))
+    return [F.xxhash64(F.lit(seed), missing, *columns) for seed in (1, 2)]
+
+
+def _repeated(own: list[tuple], df: DataFrame) -> DataFrame:
+    """How many keys each check finds more than once. Each row gives one hash per check, and hashes are
+    counted before and after one shuffle of all of them."""
+    keys = F.array_compact(F.array(*(
+        F.when(F.lit(True) if with_nulls else F.col(columns[0]).isNotNull(),
+               F.struct(F.lit(i).alias("check"), *(h.alias(n) for h, n in zip(_key_hash(columns), ("h1", "h2")))))
+        for i, (_, _, _, _, columns, with_nulls) in enumerate(own)
+    )))
+    counts = df.select(F.explode(keys).alias("key")).groupBy("key.check", "key.h1", "key.h2") \
+        .agg(F.count("*").alias("n")).filter("n > 1") \
+        .agg(*(F.count_if(F.col("check") == i).alias(f"_{i}") for i in range(len(own))))
+    results = F.explode(F.array(*(
+        F.struct(F.lit(model).alias("model_name"), F.lit(name).alias("test_name"),
+                 F.lit(severity).alias("severity"), F.col(f"_{i}").alias("failures"))
+        for i, (model, _, name, severity, *_) in enumerate(own)
+    )))
+    return counts.select(results.alias("r")).select("r.*")
+
+
 def enforce(results: DataFrame) -> None:
     """Fail if any check of severity error failed. There is one result row per check."""
     failed = results.filter(F.col("status") == "fail").orderBy("model_name", "test_name").collect()
@@ -115,10 +158,10 @@ def log_results(
 def staging_checks(suite: Suite, transactions: DataFrame, rates: DataFrame) -> Suite:
     """Checks of the staging layer."""
     t, r = "stg_fact_transaction", "stg_exchange_rate"
-    suite.key(t, "unique_combination", checks.unique_combination(transactions, [
+    suite.unique_combination(t, transactions, [
         "source_number", "transaction_date", "account", "amount", "currency",
         "transfer_account", "transfer_amount", "transfer_currency",
-    ]))
+    ])
     suite.unique(t, transactions, "raw_id")
     suite.not_null(t, transactions, "raw_id", "transaction_date", "account", "amount", "currency",
                    "ingested_at", "ingested_by", "source_file", "ingestion_id", "flow_type",
@@ -128,8 +171,7 @@ def staging_checks(suite: Suite, transactions: DataFrame, rates: DataFrame) -> S
 
 
 def _rate_checks(suite: Suite, model: str, rates: DataFrame) -> Suite:
-    suite.key(model, "unique_combination",
-              checks.unique_combination(rates, ["base_currency", "rate_date"]))
+    suite.unique_combination(model, rates, ["base_currency", "rate_date"])
     suite.unique(model, rates, "raw_id")
     columns = ["raw_id", "source", "rate_date", "base_currency", "quote_currency", "rate"]
     if model.startswith("stg"):
@@ -184,13 +226,12 @@ def mart_checks(
     suite.accepted(f, facts, "expense_type", EXPENSE_TYPES)
     suite.not_null(b, balances, "account", "account_type", "period_grain", "period", "period_end",
                    "currency", "balance", "target_currency")
-    suite.key(b, "unique_combination", checks.unique_combination(
-        balances, ["account", "period_grain", "period", "target_currency"]))
+    suite.unique_combination(b, balances, ["account", "period_grain", "period", "target_currency"])
     for model, df in ((f, facts), (b, balances)):
         suite.accepted(model, df, "account_type", ACCOUNT_TYPES)
         suite.accepted(model, df, "period_grain", GRAINS)
-        suite.key(model, "relationships_currency", checks.relationships(
-            df, "currency", rates, "base_currency", f"currency != '{pivot}'"))
+        suite.related(model, df, "relationships_currency", "currency", rates, "base_currency",
+                      f"currency != '{pivot}'")
     return suite
 
 

@@ -537,6 +537,22 @@ def test_check_history_and_current_results(spark, tmp_path):
         ("dev", "r2", 3), ("prod", "r1", 5)]
 
 
+def test_a_failed_write_leaves_the_table_whole(spark, tmp_path):
+    path, frame = str(tmp_path / "layer"), spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "n long, p string, q string")
+    first = sinks.materialize(frame, "kept_layer", "table", path, ["p"])
+    assert first.columns == ["n", "p", "q"] and sorted(map(tuple, first.collect())) == [(1, "a", "x"), (2, "b", "y")]
+    broken = frame.withColumn("q", F.when(F.col("n") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("q")))
+    with pytest.raises(Exception, match="no"):
+        sinks.materialize(broken, "kept_layer", "table", path, ["p"])
+    assert spark.table("kept_layer").count() == 2
+    again = sinks.materialize(frame.filter("n = 1"), "kept_layer", "table", path, ["p"])
+    # A reader that began before the change still finds its files.
+    assert first.count() == 2 and again.count() == spark.table("kept_layer").count() == 1
+    plan = again.filter("p = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan
+    spark.sql("DROP VIEW kept_layer")
+
+
 def test_wrong_reference_data_stops_the_build(spark, tmp_path):
     names = spark.createDataFrame(fx.accounts(spark).collect()[:3], DIM_ACCOUNTS)
     reference = Reference(names, fx.tags(spark, ("regular", True), ("rent", True)),
