@@ -9,7 +9,6 @@ the smallest of a sliding window of earlier cuts, which a monotone queue yields
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from bisect import bisect_left
@@ -27,22 +26,18 @@ SEQUENCE_COST = 16
 SENTENCE_COST, INNER_COST = 4, 24
 INNER_STEP = 64  # within a sentence, a cut is offered after so many tokens
 BUFFER = 200_000  # tokens the cuts of which are chosen together
-CACHED_CHUNKS = 300_000
 VOCABULARY, LIBRARY_VOCABULARY = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long")
 
-_ODD_SPACE = re.compile(r"[^\S \n]|\0|\s\s|^\s|\s\Z")
 
-
-class Encoder(dict):
+class Encoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
-    Words repeat, so the ids of a word with the space before it are kept. The vocabulary's own rules
-    never join tokens across such a space or a line end, unless white space meets white space or the
-    edge of the text; such texts are encoded whole. The ids are those of the tokenizer file ``json_file``;
-    ``rank_file`` is the same vocabulary in a form that is faster to use.
+    The ids are those of the tokenizer file ``json_file``; ``rank_file`` is the same vocabulary in a
+    form that is faster to use, by a library that knows no special tokens, so texts that hold one
+    are left to the tokenizer file.
     """
 
     def __init__(self, json_file: str, rank_file: str):
@@ -64,21 +59,10 @@ class Encoder(dict):
         for token, number in ranks.items():
             self.ends_sentence[number] = token.rstrip()[-1:] in (b".", b"!", b"?") or b"\n" in token
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = array("I", self._encode(chunk)).tobytes()
-        if len(self) < CACHED_CHUNKS:
-            self[chunk] = ids
-        return ids
-
     def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
         if any(s in text for s in self._special):
             return array("I", self._exact.encode(text, add_special_tokens=False).ids).tobytes()
-        if _ODD_SPACE.search(text):
-            return array("I", self._encode(text)).tobytes()
-        words = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return b"".join(map(self.__getitem__, words))
+        return array("I", self._encode(text)).tobytes()
 
 
 def cut_points(doc_ids: list[bytes], ends_sentence: np.ndarray, skip: int) -> tuple[list, list]:
