@@ -13,12 +13,14 @@ exact multiset overlap. No group is expanded into all pairs: members of a bucket
 with two leaders of it, and only members that are still in different classes afterwards are compared
 directly. A pair of candidates is left out only if both are already in one
 class, so classes are those that all verified candidate pairs would give. Pairs of a bucket of up to
-``CROWD`` members are written down and verified; in a larger one the overlap is a condition of the
-join itself, so that only near pairs ever leave it.
+``CROWD`` members are written down and verified; in a larger one the join itself leaves out what sizes
+and parities of the two sets show to be apart, so that hardly any but near pairs ever leave it.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import sized, stored, text_key
+from ledgerloom.llm.common import BROADCAST_BYTES, sized, stored, text_key
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, BAND_ROWS = 24, 6  # a pair at 0.8 is a candidate with probability 0.9993
 CROWD = 16
+PARITY_WORDS = 16  # enough that sets of hundreds of elements rarely look nearer than they are
+BLOCK = 4096  # members of a crowded bucket that one task compares with all of it
 TICKS = 2**32  # in the mean waiting time of one weight step
 NEVER = np.iinfo(np.int64).max
 DOCS_AT_ONCE = 512
@@ -198,16 +202,25 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"node": part["node"], "keys": band_keys(list(part["text"]))})
 
 
+def parities(elements: np.ndarray) -> np.ndarray:
+    """For each of 64 * ``PARITY_WORDS`` cells whether it holds an odd number of elements, as whole numbers of
+    64 bits. Two sets differ in at least as many elements as their parities differ in bits."""
+    odd = np.bincount((elements & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64),
+                      minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _gram_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each bag as a set: the n-th copy of a shingle is an element of its own."""
+    """Each bag as a set, the n-th copy of a shingle being an element of its own, and its parities."""
     for frame in batches:
         for at in range(0, len(frame), DOCS_AT_ONCE):
             part = frame.iloc[at:at + DOCS_AT_ONCE]
             sets = []
             for keys, times in bags(list(part["text"])):
                 copy = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-                sets.append(_mix(np.repeat(keys, times) + copy.astype(np.uint64) * _GOLDEN).view(np.int64))
-            yield pd.DataFrame({"node": part["node"], "grams": sets})
+                sets.append(_mix(np.repeat(keys, times) + copy.astype(np.uint64) * _GOLDEN))
+            yield pd.DataFrame({"node": part["node"], "grams": [x.view(np.int64) for x in sets],
+                                "parity": [parities(x) for x in sets]})
 
 
 def _verify(threshold: float):
@@ -247,22 +260,45 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _near_in_crowds(crowd: DataFrame, signed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Near pairs (a, b) of different roots that share a crowded bucket. A pair is looked at in the
-    first bucket it shares only; if that is not a crowded one, its pairs are written down anyway."""
+def _near_in_crowds(crowd: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Near pairs (a, b) of different roots that share a crowded bucket. Members of a bucket's largest
+    root are compared with the others only. Sizes and parities leave out pairs that differ in too many
+    elements; only for the rest are the sets fetched and compared. Buckets are broadcast if all of them
+    are small; else the others of a bucket are dealt into blocks, each of which meets the bucket."""
     nodes = crowd.select("node").distinct()
-    sets = texts.join(nodes, "node", "left_semi").mapInPandas(_gram_sets, "node binary, grams array<long>")
-    full = stored(crowd.select("key", "node", "root").join(signed, "node").join(sets, "node"), "crowds")
-    one, two = full.alias("one"), full.alias("two")
-    sizes = F.size("one.grams") + F.size("two.grams")
-    common = F.size(F.array_intersect("one.grams", "two.grams"))
-    near = ((F.col("one.key") == F.col("two.key")) & (F.col("one.root") < F.col("two.root"))
-            & (F.least(F.size("one.grams"), F.size("two.grams"))
-               >= threshold * F.greatest(F.size("one.grams"), F.size("two.grams")) - 1e-9)
-            & (F.array_min(F.array_intersect("one.keys", "two.keys")) == F.col("one.key"))
-            & (common / (sizes - common) >= threshold))
-    return one.join(two, near).select(F.least("one.node", "two.node").alias("a"),
-                                      F.greatest("one.node", "two.node").alias("b"))
+    sets = stored(texts.join(nodes, "node", "left_semi").mapInPandas(
+        _gram_sets, "node binary, grams array<long>, parity array<long>"), "grams")
+    main = (crowd.groupBy("key", "root").agg(F.count("*").alias("members"))
+            .groupBy("key").agg(F.max_by("root", F.struct("members", "root")).alias("main"),
+                                (F.sum("members") - F.max("members")).alias("minors")))
+    words = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_WORDS)]
+    slim = stored(crowd.select("key", "node", "root").join(main, "key")
+                  .withColumn("minor", F.col("root") != F.col("main")).drop("main")
+                  .join(sets.select("node", F.size("grams").alias("size"), *words), "node"), "crowds")
+    one, two = slim.filter("minor"), slim
+    rows, row_bytes = slim.count(), 120 + 8 * PARITY_WORDS
+    if rows * row_bytes > BROADCAST_BYTES:
+        blocks = F.ceil(F.col("minors") / BLOCK).cast("int")
+        one = one.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        two = two.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    else:
+        one, two = one.withColumn("block", F.lit(0)), F.broadcast(two.withColumn("block", F.lit(0)))
+    one, two = one.alias("one"), two.alias("two")
+    total = F.col("one.size") + F.col("two.size")
+    # Of two sets that are near, at most this many elements are in one alone.
+    apart = total * ((1 - threshold) / (1 + threshold)) + 1e-6
+    odd = functools.reduce(operator.add, (
+        F.bit_count(F.col(f"one.p{i}").bitwiseXOR(F.col(f"two.p{i}"))) for i in range(PARITY_WORDS)))
+    maybe = ((F.col("one.key") == F.col("two.key")) & (F.col("one.block") == F.col("two.block"))
+             & (~F.col("two.minor") | (F.col("one.root") < F.col("two.root")))
+             & (F.abs(F.col("one.size") - F.col("two.size")) <= apart) & (odd <= apart))
+    pairs = stored(one.join(two, maybe).select(
+        F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct(), "maybe")
+    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    return pairs.join(left, "a").join(right, "b").filter(
+        common / (F.size("grams_a") + F.size("grams_b") - common) >= threshold).select("a", "b")
 
 
 def _text_classes(filled: DataFrame, threshold: float) -> DataFrame:
@@ -303,7 +339,7 @@ def _text_classes(filled: DataFrame, threshold: float) -> DataFrame:
     other = small.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
     pairs = ordered(small.join(other, "key").filter("root < root2"), "node", "node2")
     untested = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-    found = stored(verified(untested).union(_near_in_crowds(crowd, signed, texts, threshold)), "near")
+    found = stored(verified(untested).union(_near_in_crowds(crowd, texts, threshold)), "near")
     if not found.isEmpty():
         roots = components(links.union(found))
 

@@ -137,3 +137,13 @@ def test_empty_table(spark):
     docs = inputs.documents(spark, ["x"]).limit(0)
     assert bagminhash.near_duplicate_classes(docs).count() == 0
     assert bagminhash.keep_one_each(docs).count() == 0
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for size in (0, 1, 5, 90, 400):
+        one = rng.integers(0, 2**64, size, np.uint64)
+        two = np.unique(np.concatenate([one[:size // 2], rng.integers(0, 2**64, 60, np.uint64)]))
+        apart = len(np.setxor1d(one, two))
+        bits = sum(int(x).bit_count() for x in (bagminhash.parities(one) ^ bagminhash.parities(two)).view(np.uint64))
+        assert len(bagminhash.parities(one)) == bagminhash.PARITY_WORDS and bits <= apart and (bits - apart) % 2 == 0
