@@ -261,7 +261,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _near_in_crowds(crowd: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Near pairs (a, b) of different roots that share a crowded bucket. Members of a bucket's largest
+    """Links (a, b) between roots some of whose members are near and share a crowded bucket; one link
+    for two roots, however many of their members are near. Members of a bucket's largest
     root are compared with the others only. Sizes and parities leave out pairs that differ in too many
     elements; only for the rest are the sets fetched and compared. Buckets are broadcast if all of them
     are small; else the others of a bucket are dealt into blocks, each of which meets the bucket."""
@@ -293,12 +294,15 @@ def _near_in_crowds(crowd: DataFrame, texts: DataFrame, threshold: float) -> Dat
              & (~F.col("two.minor") | (F.col("one.root") < F.col("two.root")))
              & (F.abs(F.col("one.size") - F.col("two.size")) <= apart) & (odd <= apart))
     pairs = stored(one.join(two, maybe).select(
-        F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct(), "maybe")
+        F.col("one.node").alias("a"), F.col("two.node").alias("b"),
+        F.least("one.root", "two.root").alias("low"), F.greatest("one.root", "two.root").alias("high"),
+    ).distinct(), "maybe")
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     return pairs.join(left, "a").join(right, "b").filter(
-        common / (F.size("grams_a") + F.size("grams_b") - common) >= threshold).select("a", "b")
+        common / (F.size("grams_a") + F.size("grams_b") - common) >= threshold
+    ).select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
 
 
 def _text_classes(filled: DataFrame, threshold: float) -> DataFrame:
