@@ -6,10 +6,14 @@ two pages are aligned by a longest common subsequence, and the lines they share
 the page's, and are deleted. Lines of an element that is made for such things (navigation, footers,
 adverts, ...) are aligned by the element they are in, for their words may vary from page to page.
 
-Pages of a site can be copies of each other: true copies are no witnesses, and lines inside ``article``
-or ``main`` are deleted only if all witnesses share them, so that one near copy takes nothing. Two tag
-rules decide alone: where a page has such an element the rest of the page is not its text, and
-elements made for navigation and the like are left out even where no page is near.
+Two neighbours may well hold the same sentence of an article. So lines inside ``article`` or ``main``
+that all witnesses of a page share are only votes: they are deleted where at least ``MIN_VOTES`` texts
+of the host, and more than half of its texts, cast them for the same line. Two tag rules decide alone:
+where a page has such an element the rest of the page is not its text, and elements made for
+navigation and the like are left out even where no page is near.
+
+Only hashes of lines are sorted and compared. Pages are parsed where they lie, once for these hashes
+and once for the text; they are shuffled only if too many of them lose lines for a broadcast.
 """
 
 from __future__ import annotations
@@ -17,13 +21,13 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import sized, stored
 from ledgerloom.llm.urls import host_and_path
 
 # Elements by their part in a page.
@@ -31,6 +35,8 @@ RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "
 ASIDE = frozenset("nav header footer aside form button dialog menu head".split())
 MAIN = frozenset(("article", "main"))
 WITNESSES = 2  # pages that a page is held against
+MIN_VOTES = 3  # texts of a host that must share a line of main elements, beside being most of them
+RANGE_LINES = 1_000_000  # lines of a range, about
 INLINE = frozenset("a abbr b bdi bdo br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -143,75 +149,100 @@ def own_text(own: Lines) -> list[int]:
     return [i for i, (_, aside, main) in enumerate(own) if not aside and (main or not has_main)]
 
 
-def main_text(own: Lines, near: Lines | None, *further: Lines) -> str:
-    """A page's lines without what is the site's; ``near`` is the first witness, ``further`` the others."""
-    keys = [(aside or text, bool(aside)) for text, aside, _ in own]
-    left = own_text(own)
-    shared = everywhere = frozenset()
-    if left and near is not None:
-        shared = everywhere = frozenset(aligned(keys, [(aside or text, bool(aside)) for text, aside, _ in near]))
-        for page in further:
-            if not any(i in everywhere and own[i][2] for i in left):
-                break
-            everywhere &= frozenset(aligned(keys, [(aside or text, bool(aside)) for text, aside, _ in page]))
-    return "\n".join(own[i][0] for i in left if i not in (everywhere if own[i][2] else shared))
+def line_hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def main_text(own: Lines, dropped: Container[int] = ()) -> str:
+    """The lines that the tag rules leave, without those at the places that are dropped."""
+    return "\n".join(own[i][0] for i in own_text(own) if i not in dropped)
 
 
 def mark(own: Lines) -> int | None:
     """Stands for the text of a page by the tag rules alone; None without text. Equal for true copies."""
-    text = "\n".join(own[i][0] for i in own_text(own))
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big",
-                          signed=True) if text else None
+    text = main_text(own)
+    return line_hash(text) if text else None
+
+
+ASIDE_LINE, MAIN_LINE, LEFT = 1, 2, 4  # flags of a line: made for navigation, in the main element, left by the tag rules
+Hashed = tuple[list[int], list[int]]  # hashes and flags of the lines of a page
+
+
+def hashed(own: Lines) -> Hashed:
+    """What pages are compared by: for the likes of navigation the element, else the text."""
+    left = set(own_text(own))
+    return ([line_hash(f"aside {aside}" if aside else f"text {text}") for text, aside, _ in own],
+            [ASIDE_LINE * bool(aside) + MAIN_LINE * main + LEFT * (i in left) for i, (_, aside, main) in enumerate(own)])
+
+
+def shared_lines(own: Hashed, witnesses: list[Hashed]) -> tuple[list[int], list[int]]:
+    """Places of lines to delete: those outside main elements that the first witness shares, and, if the
+    host agrees, those inside that all witnesses share."""
+    keys, flags = own
+    left = {i for i, flag in enumerate(flags) if flag & LEFT}
+    if not left or not witnesses:
+        return [], []
+    shared = left & set(aligned(keys, witnesses[0][0]))
+    outside = sorted(i for i in shared if not flags[i] & MAIN_LINE)
+    inside = {i for i in shared if flags[i] & MAIN_LINE}
+    for other, _ in witnesses[1:]:
+        if inside:
+            inside &= set(aligned(keys, other))
+    return outside, sorted(inside)
 
 
-SCHEMA = "page_id long, url string, text string, n_chars long"
 BEFORE, OWN, AFTER = 0, 1, 2  # a range's own pages, and those carried over from other ranges
 
 
-def _marks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _hashes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for pages in batches:
-        yield pd.Series([mark(lines(page or "")) for page in pages], dtype="Int64")
+        rows = []
+        for page in pages:
+            own = lines(page or "")
+            rows.append((mark(own), *hashed(own)))
+        yield pd.DataFrame(rows, columns=["mark", "keys", "flags"]).astype({"mark": "Int64"})
 
 
-def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     at = None  # range and host
-    recent: list[tuple[int, Lines]] = []  # the last pages of the host with different marks, newest first
-    waiting: list[tuple] = []  # pages with too few witnesses yet: (id, url, lines, mark, witnesses)
+    recent: list[tuple[int, Hashed]] = []  # the last pages of the host with different marks, newest first
+    waiting: list[tuple] = []  # pages with too few witnesses yet: (key, mark, lines, witnesses)
 
-    def row(page_id: int | None, url: str | None, own: Lines, witnesses: list[Lines]) -> tuple:
-        text = main_text(own, *(witnesses or [None]))
-        return page_id, url, text, len(text)
+    def decided(pages: list[tuple]) -> Iterator[tuple]:
+        for key, of_own, own, witnesses in pages:
+            outside, inside = shared_lines(own, witnesses)
+            if outside or inside:
+                yield *key, of_own, outside, inside, [own[0][i] for i in inside]
 
     def frame_of(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars"]).astype({"page_id": "Int64"})
+        return pd.DataFrame(rows, columns=[*ORDER, "mark", "outside", "inside", "votes"])
 
     for frame in batches:
-        rows = []
-        missing = frame["page_id"].isna()
-        for part, side, page_id, no_id, url, host, page in zip(
-                frame["part"], frame["side"], frame["page_id"], missing, frame["url"], frame["host"], frame["html"]):
+        rows: list[tuple] = []
+        missing = frame["mark"].isna()
+        for part, side, host, path, known, number, content, of_own, unmarked, keys, flags in zip(
+                frame["part"], frame["side"], *(frame[c] for c in ORDER), frame["mark"], missing, frame["keys"], frame["flags"]):
             if (part, host) != at:
-                rows += [row(i, u, x, w) for i, u, x, _, w in waiting]
+                rows += decided(waiting)
                 at, recent, waiting = (part, host), [], []
-            own = lines(page or "")
-            of_own = mark(own)
+            if unmarked:
+                continue
+            of_own, own = int(of_own), (list(keys), list(flags))
             # While pages wait, ``recent`` holds every mark of the host, so this is done a few times only.
-            if waiting and of_own is not None and all(m != of_own for m, _ in recent):
+            if waiting and all(m != of_own for m, _ in recent):
                 for *_, witnesses in waiting:
                     witnesses.append(own)
-                rows += [row(i, u, x, w) for i, u, x, _, w in waiting if len(w) == WITNESSES]
-                waiting = [w for w in waiting if len(w[4]) < WITNESSES]
+                rows += decided([w for w in waiting if len(w[3]) == WITNESSES])
+                waiting = [w for w in waiting if len(w[3]) < WITNESSES]
             if side == OWN:
-                known = (None if no_id else int(page_id), url, own)
-                witnesses = [x for m, x in recent if m != of_own][:WITNESSES]
-                if of_own is None or len(witnesses) == WITNESSES:
-                    rows.append(row(*known, witnesses))
+                page = ((host, path, known, number, content), of_own, own, [x for m, x in recent if m != of_own][:WITNESSES])
+                if len(page[3]) == WITNESSES:
+                    rows += decided([page])
                 else:
-                    waiting.append((*known, of_own, witnesses))
-            if of_own is not None:
-                recent = [(of_own, own), *[r for r in recent if r[0] != of_own][:WITNESSES]]
+                    waiting.append(page)
+            recent = [(of_own, own), *[r for r in recent if r[0] != of_own][:WITNESSES]]
         yield frame_of(rows)
-    yield frame_of([row(i, u, x, w) for i, u, x, _, w in waiting])
+    yield frame_of(list(decided(waiting)))
 
 
 ORDER = ("host", "path", "known", "id", "content")
@@ -276,6 +307,37 @@ def _carried(ranged: DataFrame) -> list[tuple]:
     return rows
 
 
+SHARED = ("host string, path string, known boolean, id long, content long, mark long, outside array<int>, "
+          "inside array<int>, votes array<long>")
+
+
+def _site_lines(marks: DataFrame, shared: DataFrame) -> DataFrame:
+    """(host, site): hashes of the lines in main elements that most texts of a host have as votes. No
+    more than twice the lines of an average text, since each is in more than half of them."""
+    votes = (shared.select("host", "mark", F.explode("votes").alias("line")).distinct()
+             .groupBy("host", "line").agg(F.count("*").alias("votes")).filter(F.col("votes") >= MIN_VOTES))
+    voters = (marks.filter("mark IS NOT NULL").select("host", "mark").distinct()
+              .groupBy("host").agg(F.count("*").alias("texts")))
+    return (votes.join(voters, "host").filter(2 * F.col("votes") > F.col("texts"))
+            .groupBy("host").agg(F.collect_list("line").alias("site")))
+
+
+def _dropped(marks: DataFrame, shared: DataFrame) -> DataFrame:
+    """Page keys and the places of the lines that go, for pages that lose any."""
+    agreed = F.filter(F.arrays_zip("inside", "votes"),
+                      lambda v: F.array_contains("site", v["votes"]))
+    places = F.concat("outside", F.when(F.col("site").isNull(), F.array().cast("array<int>")).otherwise(
+        F.transform(agreed, lambda v: v["inside"])))
+    return (shared.join(_site_lines(marks, shared), "host", "left")
+            .select(*ORDER, places.alias("dropped")).filter("size(dropped) > 0").dropDuplicates(list(ORDER)))
+
+
+def _texts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for pages, places in batches:
+        yield pd.Series([main_text(lines(page or ""), () if gone is None else set(gone))
+                         for page, gone in zip(pages, places)], dtype="object")
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars, one row per row of ``pages``.
 
@@ -290,13 +352,23 @@ def extracted(pages: DataFrame) -> DataFrame:
                          path.alias("path"), F.xxhash64("html").alias("content"))
     keyed = (keyed.withColumn("known", F.col("page_id").isNotNull())
              .withColumn("id", F.coalesce("page_id", F.lit(0).cast("long"))))
-    marked = F.pandas_udf(_marks, "long")
-    marks = stored(keyed.select(*ORDER, marked("html").alias("mark")), "marks")
-    bounds = _bounds(marks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parsed = F.pandas_udf(_hashes, "mark long, keys array<long>, flags array<int>").asNondeterministic()
+    marks = stored(keyed.select(*ORDER, parsed("html").alias("found")).select(*ORDER, "found.*"), "marks")
+    n_lines = marks.agg(F.sum(F.size("keys")).alias("n")).first()["n"] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_lines // RANGE_LINES + 1)
+    bounds = _bounds(marks, parts)
+    ranged = _part(marks, bounds)
     carried = spark.createDataFrame(
-        _carried(_part(marks, bounds)), "part int, side int, host string, path string, known boolean, id long, content long")
-    columns = ("part", "side", *ORDER, "page_id", "url", "html")
-    others = keyed.join(F.broadcast(carried), list(ORDER)).select(*columns).dropDuplicates(["part", "side", *ORDER])
-    everything = _part(keyed, bounds).withColumn("side", F.lit(OWN)).select(*columns).unionByName(others)
-    return (everything.repartitionByRange("part").sortWithinPartitions("part", "side", *ORDER)
-            .select("part", "side", "page_id", "url", "host", "html").mapInPandas(_extract, SCHEMA))
+        _carried(ranged), "part int, side int, host string, path string, known boolean, id long, content long")
+    columns = ("part", "side", *ORDER, "mark", "keys", "flags")
+    others = marks.join(F.broadcast(carried), list(ORDER)).select(*columns).dropDuplicates(["part", "side", *ORDER])
+    everything = ranged.withColumn("side", F.lit(OWN)).select(*columns).unionByName(others)
+    shared = stored(everything.repartitionByRange(parts, "part").sortWithinPartitions("part", "side", *ORDER)
+                    .mapInPandas(_compare, SHARED), "shared")
+    dropped = stored(_dropped(marks, shared), "dropped")
+    size = dropped.agg(F.sum(
+        F.octet_length("host") + F.octet_length("path") + 4 * F.size("dropped") + 64).alias("bytes")).first()["bytes"]
+    text = F.pandas_udf(_texts, "string").asNondeterministic()
+    return (keyed.join(sized(dropped, 1, size or 0), list(ORDER), "left")
+            .select("page_id", "url", text("html", "dropped").alias("text"))
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))

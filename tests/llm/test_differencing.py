@@ -1,5 +1,6 @@
 """Alignment against the textbook table; pages with known main text."""
 
+import random
 import re
 
 import inputs
@@ -23,7 +24,7 @@ def test_alignment_is_longest(a, b):
 
 
 def text_of(page):
-    return differencing.main_text(differencing.lines(page), None)
+    return differencing.main_text(differencing.lines(page))
 
 
 def test_pages():
@@ -78,6 +79,95 @@ def test_site_lines_inside_articles_go_and_copies_stay(spark):
                    10: "long\ntale\none", 11: "long\ntale\ntwo", 12: "", 13: "last"}
 
 
+def plain(pages):
+    """Texts by a plain reading: every pair of texts of a host in order, the textbook alignment, all votes."""
+    def in_common(a, b):
+        size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                size[i + 1][j + 1] = size[i][j] + 1 if x == y else max(size[i][j + 1], size[i + 1][j])
+        return size
+
+    def always_matched(a, b):
+        """Places of ``a``; only lists with one alignment are given to this."""
+        size, i, j, places = in_common(a, b), len(a), len(b), set()
+        while i and j:
+            if a[i - 1] == b[j - 1]:
+                i, j = i - 1, j - 1
+                places.add(i)
+            elif size[i - 1][j] >= size[i][j - 1]:
+                i -= 1
+            else:
+                j -= 1
+        return places
+
+    order = sorted(range(len(pages)), key=lambda n: (pages[n][1].split("/", 3)[2], "/" + pages[n][1].split("/", 3)[3], pages[n][0]))
+    read = {n: differencing.lines(pages[n][2]) for n in order}
+    told = {n: text_of(pages[n][2]) for n in order}
+    gone, votes = {n: [set(), set()] for n in order}, {}
+    for place, n in enumerate(order):
+        site = pages[n][1].split("/", 3)[2]
+        near = []
+        for other in [*order[:place][::-1], *order[place + 1:]]:
+            if pages[other][1].split("/", 3)[2] == site and told[other] and told[other] not in (
+                    told[n], *(told[w] for w in near)) and len(near) < 2:
+                near.append(other)
+        if told[n] and near:
+            keys = {m: [(aside or text, bool(aside)) for text, aside, _ in read[m]] for m in (n, *near)}
+            common = [always_matched(keys[n], keys[m]) for m in near]
+            left = set(differencing.own_text(read[n]))
+            gone[n] = [{i for i in common[0] & left if not read[n][i][2]},
+                       {i for i in set.intersection(*common) & left if read[n][i][2]}]
+            for i in gone[n][1]:
+                votes.setdefault((site, read[n][i][0]), set()).add(told[n])
+    found = {}
+    for n in order:
+        site = pages[n][1].split("/", 3)[2]
+        texts = {told[m] for m in order if pages[m][1].split("/", 3)[2] == site and told[m]}
+        agreed = {i for i in gone[n][1] if len(votes[site, read[n][i][0]]) >= 3 and 2 * len(votes[site, read[n][i][0]]) > len(texts)}
+        found[pages[n][0]] = "\n".join(read[n][i][0] for i in differencing.own_text(read[n]) if i not in gone[n][0] | agreed)
+    return found
+
+
+def test_pairing_and_votes_against_a_plain_reading(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(150):
+        site = rng.randrange(6)
+        own = [f"story {rng.randrange(4)} of {site}", f"end {rng.randrange(3)}"]
+        body = ["Share this"] * (site % 2) + own + ["About us"] * (site > 1)
+        inner = "".join(f"<p>{x}</p>" for x in body)
+        page = [f"<div>Top</div>{inner}<div>Last</div>", f"<nav>m{i}</nav><article>{inner}</article><div>x</div>"][site > 2]
+        rows.append((i, f"http://h{site}.org/{rng.randrange(40):02}", page if rng.random() < 0.95 else ""))
+    got = {r.page_id: r.text for r in differencing.extracted(inputs.pages(spark, rows)).collect()}
+    want = plain(rows)
+    assert got == want
+    assert any("Share" in r[2] and "Share" not in want[r[0]] for r in rows)
+
+
+def test_sentences_that_two_neighbours_hold_stay(spark):
+    page = "<article><h1>{}</h1><p>A sentence they share.</p><p>{}</p></article>"
+    other = "<article><p>other {}</p></article>"
+    rows = [(i, f"http://h.org/{i}", page.format("Title", i)) for i in range(3)]
+    rows += [(i, f"http://h.org/{i}", other.format(i)) for i in range(3, 9)]
+    got = {r.page_id: r.text for r in differencing.extracted(inputs.pages(spark, rows)).collect()}
+    assert [got[i] for i in range(3)] == [f"Title\nA sentence they share.\n{i}" for i in range(3)]
+
+
+def test_no_sentence_of_the_given_articles_goes(spark):
+    pages = table(spark, "/root/testdata/sf0.1", "pages")
+    got = {r.page_id: r.text for r in differencing.extracted(pages).collect()}
+    for r in pages.collect():
+        assert got[r.page_id] == text_of(r.html)
+
+
+def test_very_long_pages(spark):
+    long = "<article>" + "".join(f"<p>line {i} {{0}}</p>" for i in range(30_000)) + "<p>the end</p></article>"
+    rows = [(i, f"http://h.org/{i}", long.format(i)) for i in range(3)]
+    got = differencing.extracted(inputs.pages(spark, rows)).collect()
+    assert len(got) == 3 and all(r.text.count("\n") >= 29_999 and r.n_chars == len(r.text) for r in got)
+
+
 def test_pairs_do_not_depend_on_ranges(spark):
     page = "<div>Share {}</div><p>{}</p><div>All about us</div>"
     rows = [(i, f"http://h{i // 9}.org/{i:02}", page.format(i % 2, f"story {i // 2 if i < 18 else 0}")) for i in range(40)]
