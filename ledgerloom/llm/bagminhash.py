@@ -13,8 +13,9 @@ exact multiset overlap. No group is expanded into all pairs: members of a bucket
 with two leaders of it, and only members that are still in different classes afterwards are compared
 directly. A pair of candidates is left out only if both are already in one
 class, so classes are those that all verified candidate pairs would give. Pairs of a bucket of up to
-``CROWD`` members are written down and verified; in a larger one the join itself leaves out what sizes
-and parities of the two sets show to be apart, so that hardly any but near pairs ever leave it.
+``CROWD`` members are written down and verified. In a larger one the members outside its largest class
+are compared with some members of that first, so that hardly any with many near texts there are left; then
+the join itself leaves out what sizes and parities of the two sets show to be apart.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import BROADCAST_BYTES, sized, stored, text_key
@@ -35,6 +36,7 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 24, 6  # a pair at 0.8 is a candidate with probability 0.9993
 CROWD = 16
 PARITY_WORDS = 16  # enough that sets of hundreds of elements rarely look nearer than they are
+CROWD_LEADERS = 4  # members of a crowded bucket's largest root that the others are compared with first
 BLOCK = 4096  # members of a crowded bucket that one task compares with all of it
 TICKS = 2**32  # in the mean waiting time of one weight step
 NEVER = np.iinfo(np.int64).max
@@ -260,22 +262,64 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _apart(left: str, right: str, threshold: float) -> Column:
+    """Whether sizes and parities of two sets show that they are not near. Of two sets that are near at
+    most a share of their elements is in one alone, and parities differ in no more bits than that."""
+    most = (F.col(f"{left}.size") + F.col(f"{right}.size")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    odd = functools.reduce(operator.add, (
+        F.bit_count(F.col(f"{left}.p{i}").bitwiseXOR(F.col(f"{right}.p{i}"))) for i in range(PARITY_WORDS)))
+    return (F.abs(F.col(f"{left}.size") - F.col(f"{right}.size")) > most) | (odd > most)
+
+
+def _with_main(crowd: DataFrame) -> DataFrame:
+    """Crowded buckets of several roots, with the largest root of each, how many members are of others,
+    and a few members of the largest root, others in each bucket."""
+    leaders = F.array(*[F.min_by("node", F.xxhash64("key", "node", F.lit(i))) for i in range(CROWD_LEADERS)])
+    main = (crowd.groupBy("key", "root").agg(F.count("*").alias("members"), leaders.alias("leaders"))
+            .groupBy("key").agg(F.max_by(F.struct("root", "leaders"), F.struct("members", "root")).alias("main"),
+                                (F.sum("members") - F.max("members")).alias("minors")).filter("minors > 0"))
+    return (crowd.join(main.select("key", F.col("main.root").alias("main"), "main.leaders", "minors"), "key")
+            .withColumn("minor", F.col("root") != F.col("main")))
+
+
 def _near_in_crowds(crowd: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between roots some of whose members are near and share a crowded bucket; one link
-    for two roots, however many of their members are near. Members of a bucket's largest
-    root are compared with the others only. Sizes and parities leave out pairs that differ in too many
-    elements; only for the rest are the sets fetched and compared. Buckets are broadcast if all of them
-    are small; else the others of a bucket are dealt into blocks, each of which meets the bucket."""
+    for two roots, however many of their members are near.
+
+    First the members of a bucket's smaller roots are compared with some of its largest root. A root that
+    is near one of them takes its label, for both are in one class; who has few near texts in the largest
+    root is left, and is compared with all of the bucket that still has another label. Sizes and parities
+    leave out pairs that differ in too many elements; only for the rest are the sets fetched and compared.
+    Buckets are broadcast if all of them are small; else the others of a bucket are dealt into blocks,
+    each of which meets the bucket."""
     nodes = crowd.select("node").distinct()
     sets = stored(texts.join(nodes, "node", "left_semi").mapInPandas(
         _gram_sets, "node binary, grams array<long>, parity array<long>"), "grams")
-    main = (crowd.groupBy("key", "root").agg(F.count("*").alias("members"))
-            .groupBy("key").agg(F.max_by("root", F.struct("members", "root")).alias("main"),
-                                (F.sum("members") - F.max("members")).alias("minors")))
     words = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_WORDS)]
-    slim = stored(crowd.select("key", "node", "root").join(main, "key")
-                  .withColumn("minor", F.col("root") != F.col("main")).drop("main")
-                  .join(sets.select("node", F.size("grams").alias("size"), *words), "node"), "crowds")
+    shapes = stored(sets.select("node", F.size("grams").alias("size"), *words), "shapes")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """Links (a, b) of roots by pairs (a, b, low, high) of nodes and their roots."""
+        left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
+        right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
+        common = F.size(F.array_intersect("grams_a", "grams_b"))
+        return stored(pairs.join(left, "a").join(right, "b").filter(
+            common / (F.size("grams_a") + F.size("grams_b") - common) >= threshold
+        ).select(F.col("low").alias("a"), F.col("high").alias("b")).distinct(), "near")
+
+    ends = [F.least("root", "main").alias("low"), F.greatest("root", "main").alias("high")]
+    tried = (_with_main(crowd).filter("minor")
+             .select(F.col("node").alias("a"), F.explode(F.array_distinct("leaders")).alias("b"), *ends).distinct())
+    one, two = shapes.withColumnRenamed("node", "a").alias("one"), shapes.withColumnRenamed("node", "b").alias("two")
+    close = stored(tried.join(one, "a").join(two, "b").filter(~_apart("one", "two", threshold))
+                   .select("a", "b", "low", "high"), "close")
+    led = near(close)
+    labels = components(led)
+    renamed = labels.select(F.col("node").alias("root"), F.col("root").alias("label"))
+    crowd = crowd.join(sized(renamed, renamed.count(), 96), "root", "left").select(
+        "key", "node", F.coalesce("label", "root").alias("root"))
+
+    slim = stored(_with_main(crowd).drop("main", "leaders").join(shapes, "node"), "crowds")
     one, two = slim.filter("minor"), slim
     rows, row_bytes = slim.count(), 120 + 8 * PARITY_WORDS
     if rows * row_bytes > BROADCAST_BYTES:
@@ -285,24 +329,13 @@ def _near_in_crowds(crowd: DataFrame, texts: DataFrame, threshold: float) -> Dat
     else:
         one, two = one.withColumn("block", F.lit(0)), F.broadcast(two.withColumn("block", F.lit(0)))
     one, two = one.alias("one"), two.alias("two")
-    total = F.col("one.size") + F.col("two.size")
-    # Of two sets that are near, at most this many elements are in one alone.
-    apart = total * ((1 - threshold) / (1 + threshold)) + 1e-6
-    odd = functools.reduce(operator.add, (
-        F.bit_count(F.col(f"one.p{i}").bitwiseXOR(F.col(f"two.p{i}"))) for i in range(PARITY_WORDS)))
     maybe = ((F.col("one.key") == F.col("two.key")) & (F.col("one.block") == F.col("two.block"))
-             & (~F.col("two.minor") | (F.col("one.root") < F.col("two.root")))
-             & (F.abs(F.col("one.size") - F.col("two.size")) <= apart) & (odd <= apart))
+             & (~F.col("two.minor") | (F.col("one.root") < F.col("two.root"))) & ~_apart("one", "two", threshold))
     pairs = stored(one.join(two, maybe).select(
         F.col("one.node").alias("a"), F.col("two.node").alias("b"),
         F.least("one.root", "two.root").alias("low"), F.greatest("one.root", "two.root").alias("high"),
     ).distinct(), "maybe")
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
-    common = F.size(F.array_intersect("grams_a", "grams_b"))
-    return pairs.join(left, "a").join(right, "b").filter(
-        common / (F.size("grams_a") + F.size("grams_b") - common) >= threshold
-    ).select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
+    return led.union(near(pairs))
 
 
 def _text_classes(filled: DataFrame, threshold: float) -> DataFrame:
