@@ -3,10 +3,11 @@
 Rules on hosts and paths decide some urls; these are the labels. Paths become templates: segments
 with digits, and whatever lies below ``DEPTH`` segments, are wildcards. Per host the templates form a
 tree. From the deepest level up, a parent with many children, each of them rare, turns them all
-into a wildcard, and a child whose share of blocked urls is not significantly different from its
-parent's is merged into the parent's wildcard. What remains is judged by its smoothed purity: the share
-of blocked urls, drawn towards that of the same template on all hosts, which is in turn drawn
-towards the share of all urls.
+into a wildcard, and a child is merged into the parent's wildcard if it and its siblings have labels
+enough and a two-sample test finds no difference between their shares of blocked urls. A branch
+with few labels keeps its own shape. What remains is judged by its smoothed purity: the share
+of blocked urls, drawn towards that of the same path on all hosts, which is drawn towards that of
+the path one segment shorter, and so on up to the share of all urls.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from ledgerloom.llm.common import sized, stored
 DEPTH = 4
 MANY_CHILDREN, RARE = 50, 5  # more children than this, with fewer urls each on average, are a wildcard
 SIMILAR_Z = 1.96
+ENOUGH_LABELS = 5  # on both sides of a comparison
 SMOOTHING = 4.0
 BLOCK_FROM = 0.5
 
@@ -82,8 +84,11 @@ def template_verdicts(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
             F.count("*").alias("children"), F.sum("urls").alias("all_urls"), F.sum("n").alias("all_n"),
             F.sum("k").alias("all_k"))
         share = (F.col("all_k") + 1) / (F.col("all_n") + 2)
-        alike = (F.abs(F.col("k") - F.col("n") * share)
-                 <= SIMILAR_Z * F.sqrt(F.col("n") * share * (1 - share)))
+        rest = F.col("all_n") - F.col("n")
+        # |k / n - (all_k - k) / rest| against its spread, multiplied by n * rest
+        apart = F.abs(F.col("k") * F.col("all_n") - F.col("all_k") * F.col("n")).cast("double")
+        alike = ((F.col("n") >= ENOUGH_LABELS) & (rest >= ENOUGH_LABELS)
+                 & (apart <= SIMILAR_Z * F.sqrt(share * (1 - share) * (F.col("all_n") * F.col("n") * rest).cast("double"))))
         crowded = (F.col("children") > MANY_CHILDREN) & (F.col("all_urls") < RARE * F.col("children"))
         merged = (children.join(parents, ["host", "parent"]).filter(alike | crowded)
                   .select("host", "parent", "own", F.lit(True).alias("merge")))
@@ -93,13 +98,23 @@ def template_verdicts(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
             F.when(F.col("merge"), F.concat(head, F.array(F.lit("*")), tail)).otherwise(F.col("now")).alias("now"))
     tree = stored(tree, "tree")
     own = tree.groupBy("host", "now").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    everywhere = tree.groupBy(F.col("segments")).agg(F.sum("n").alias("all_n"), F.sum("k").alias("all_k"))
     total = tree.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     overall = ((total["k"] or 0) + 1) / ((total["n"] or 0) + 2)
-    wide = (F.col("all_k") + F.lit(SMOOTHING * overall)) / (F.col("all_n") + SMOOTHING)
-    purity = (F.col("k") + SMOOTHING * F.col("wide")) / (F.col("n") + SMOOTHING)
+    steps = (tree.groupBy("segments").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+             .select("segments", "n", "k", F.explode(F.expr("sequence(0, size(segments))")).alias("level"))
+             .withColumn("above", F.slice("segments", F.lit(1), F.col("level"))).filter("level > 0"))
+    sums = stored(steps.groupBy("above").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "above")
+    bytes_ = sums.agg(F.sum(F.length(F.array_join("above", "/")) * 4 + 64).alias("b")).first()["b"] or 0
+    # At most depth + 1 steps for a path; from all urls down to the whole path.
+    wide = F.aggregate(F.array_sort("steps"), F.lit(overall), lambda share, step:
+                       (step["k"] + SMOOTHING * share) / (step["n"] + SMOOTHING))
+    everywhere = (steps.select("segments", "level", "above").join(sized(sums, 1, bytes_), "above")
+                  .groupBy("segments").agg(F.collect_list(F.struct("level", "n", "k")).alias("steps"))
+                  .select("segments", wide.alias("wide")))
+    prior = F.coalesce("wide", F.lit(overall))  # the root has no step above it
+    purity = (F.col("k") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)
     return (tree.select("host", "segments", "now").join(own, ["host", "now"])
-            .join(everywhere.select("segments", wide.alias("wide")), "segments")
+            .join(everywhere, "segments", "left")
             .select("host", "segments", F.concat(F.lit("/"), F.array_join("now", "/")).alias("template"),
                     purity.alias("purity"), (purity >= BLOCK_FROM).alias("blocked")))
 
@@ -117,7 +132,9 @@ def filtered(pages: DataFrame, rules: tuple[Rule, ...] = RULES, depth: int = DEP
     ruled = split.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"),
                          path_segments(F.col("path"), depth).alias("segments"))
     verdicts = stored(template_verdicts(ruled.withColumn("label", F.col("ruled") == "block"), depth), "verdicts")
-    return (ruled.join(sized(verdicts, verdicts.count(), 200), ["host", "segments"])
+    text = F.length("host") + F.length(F.array_join("segments", "/")) + F.length("template")
+    width = verdicts.agg(F.sum(text * 4 + 64).alias("b")).first()["b"] or 0  # real sizes, 4 bytes a character
+    return (ruled.join(sized(verdicts, 1, width), ["host", "segments"])
             .select("page_id", "host", "path", "rule",
                     F.coalesce("ruled", F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
                     "template"))
@@ -138,15 +155,23 @@ def oracle(rules: tuple[Rule, ...] = RULES, depth: int = DEPTH) -> str:
 r{level} AS (SELECT *, now[1:{level - 1}] AS parent, now[{level}] AS own FROM {before}),
 c{level} AS (SELECT host, parent, own, sum(urls) AS urls, sum(n) AS n, sum(k) AS k FROM r{level}
        WHERE own IS NOT NULL GROUP BY ALL),
-p{level} AS (SELECT host, parent, count(*) AS children, sum(urls) AS all_urls,
+p{level} AS (SELECT host, parent, count(*) AS children, sum(urls) AS all_urls, sum(n) AS all_n, sum(k) AS all_k,
        (sum(k) + 1)::DOUBLE / (sum(n) + 2)::DOUBLE AS share FROM c{level} GROUP BY ALL),
 m{level} AS (SELECT host, parent, own FROM c{level} JOIN p{level} USING (host, parent)
-       WHERE abs(k::DOUBLE - n::DOUBLE * share) <= {SIMILAR_Z} * sqrt(n::DOUBLE * share * (1 - share))
+       WHERE (n >= {ENOUGH_LABELS} AND all_n - n >= {ENOUGH_LABELS} AND abs(k * all_n - all_k * n)::DOUBLE
+              <= {SIMILAR_Z} * sqrt(share * (1 - share) * (all_n * n * (all_n - n))::DOUBLE))
           OR (children > {MANY_CHILDREN} AND all_urls < {RARE} * children)),
 t{level} AS (SELECT r.host, r.segments, r.urls, r.n, r.k, CASE WHEN m.own IS NOT NULL
        THEN r.now[1:{level - 1}] || ['*'] || r.now[{level + 1}:] ELSE r.now END AS now
        FROM r{level} r LEFT JOIN m{level} m ON r.host = m.host AND r.parent = m.parent AND r.own = m.own)""")
         before = f"t{level}"
+    wide = [f"""
+a{level} AS (SELECT segments[1:{level}] AS above, sum(n) AS n, sum(k) AS k FROM {before}
+       WHERE len(segments) >= {level} GROUP BY ALL),
+w{level} AS (SELECT w.segments, CASE WHEN a.n IS NULL THEN wide
+       ELSE (a.k::DOUBLE + {SMOOTHING} * wide) / (a.n::DOUBLE + {SMOOTHING}) END AS wide
+       FROM w{level - 1} w LEFT JOIN a{level} a ON len(w.segments) >= {level} AND a.above = w.segments[1:{level}])"""
+            for level in range(1, depth + 2)]
     return rf"""
 WITH u AS (SELECT page_id,
   translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
@@ -159,10 +184,9 @@ t0 AS (SELECT host, segments, count(*) AS urls, count(ruled) AS n, count(*) FILT
   segments AS now FROM d GROUP BY host, segments),{','.join(levels)},
 o AS (SELECT host, now, sum(n) AS n, sum(k) AS k FROM {before} GROUP BY ALL),
 g AS (SELECT (coalesce(sum(k), 0) + 1)::DOUBLE / (coalesce(sum(n), 0) + 2)::DOUBLE AS overall FROM {before}),
-w AS (SELECT segments, (sum(k)::DOUBLE + {SMOOTHING} * any_value(overall)) / (sum(n)::DOUBLE + {SMOOTHING}) AS wide
-      FROM {before}, g GROUP BY segments),
+w0 AS (SELECT segments, overall AS wide FROM (SELECT DISTINCT segments FROM {before}), g),{','.join(wide)},
 v AS (SELECT t.host, t.segments, '/' || array_to_string(t.now, '/') AS template,
         (o.k::DOUBLE + {SMOOTHING} * wide) / (o.n::DOUBLE + {SMOOTHING}) >= {BLOCK_FROM} AS blocked
-      FROM {before} t JOIN o ON t.host = o.host AND t.now = o.now JOIN w ON t.segments = w.segments)
+      FROM {before} t JOIN o ON t.host = o.host AND t.now = o.now JOIN w{depth + 1} w ON t.segments = w.segments)
 SELECT page_id, d.host, path, rule, coalesce(ruled, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict, template
 FROM d JOIN v ON d.host = v.host AND d.segments = v.segments"""

@@ -58,6 +58,29 @@ def test_a_bad_branch_is_blocked_and_its_sibling_is_not(spark):
     assert all(v == ("block" if p.startswith("/bad") else "allow") for p, v in got.items())
 
 
+def test_branches_without_labels_keep_their_shape_and_borrow_it(spark):
+    rules = (urls.Rule("block", "a.org", "/bad"), urls.Rule("allow", "a.org", "/good"))
+    paths = [f"http://{host}/{kind}/{i}" for host in ("a.org", "b.org") for kind in ("bad", "good", "other") for i in range(20)]
+    got = [(paths[r.page_id], r) for r in urls.filtered(
+        inputs.pages(spark, [(i, u, None) for i, u in enumerate(paths)]), rules).collect()]
+    assert {r.template for u, r in got if "b.org" in u} == {"/bad/*", "/good/*", "/other/*"}
+    assert all((r.verdict == "block") == ("/bad/" in u) for u, r in got if "/other/" not in u)
+
+
+def test_like_branches_with_labels_merge(spark):
+    rules = (urls.Rule("block", "a.org", "/x"), urls.Rule("allow", "a.org", "/y"))
+    paths = [f"/{kind}{name}/{'abcde'[i % 5]}" for kind, name in (("x", "p"), ("x", "q"), ("y", "p"), ("y", "q")) for i in range(40)]
+    got = urls.filtered(inputs.pages(spark, [(i, f"http://a.org{p}", None) for i, p in enumerate(paths)]), rules).collect()
+    # Leaves of a branch are alike; the branches themselves are not.
+    assert {r.template for r in got} == {"/xp/*", "/xq/*", "/yp/*", "/yq/*"}
+
+
+def test_long_paths(spark):
+    pages = inputs.pages(spark, [(1, "http://a.org/" + "x/" * 20_000, None), (2, "http://net/es/" + "y" * 50_000, None)])
+    got = {r.page_id: r for r in urls.filtered(pages).collect()}
+    assert got[1].template == "/x/x/x/x/**" and got[2].verdict == "block"
+
+
 def test_no_rows_and_repeated_rows(spark):
     pages = inputs.pages(spark, [(1, "http://a.org/x", None)] * 3 + [(None, None, None)])
     assert urls.filtered(pages).count() == 4 and urls.filtered(pages.limit(0)).count() == 0
