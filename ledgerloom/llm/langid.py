@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: Bounds of the training sample: bytes of a language's dictionary, and about how many labelled texts
-#: of a language, those with the smallest hashes, are looked at to fill it.
+#: Bounds of the training sample: bytes of a language's dictionary, about how many labelled texts
+#: of a language, those with the smallest hashes, are looked at to fill it, characters taken of each
+#: (of a longer text a stretch at a place that its hash chooses), and languages, those with most rows.
 DICTIONARY_BYTES = 100_000
 SAMPLE_TEXTS = 400
-LONGEST_SAMPLE = 20_000
+STRETCH = 20_000
+MOST_LANGUAGES = 1_000
 LEVEL = 5
 MIN_MARGIN = 0.02
 
@@ -40,15 +42,18 @@ def fitted(docs: DataFrame) -> dict[str, bytes]:
     """Dictionaries by language, from rows that are not held out and have lang, text and doc_id; the
     language with most rows first."""
     rows = docs.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
-                       & F.col("text").rlike(r"\p{L}") & (F.length("text") <= LONGEST_SAMPLE))
+                       & F.col("text").rlike(r"\p{L}"))
     place = F.xxhash64("text", "doc_id")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one per language
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = {r["lang"]: r["count"] for r in common.collect()}
     # A share of each language that holds about SAMPLE_TEXTS texts; the hash decides, not the order.
     keep = F.lit(False)
     for lang, n in counts.items():
         share = min(1.0, SAMPLE_TEXTS / n)
         keep = keep | ((F.col("lang") == lang) & (F.pmod(place, F.lit(1 << 40)) < int(share * (1 << 40))))
-    sample = rows.filter(keep).select("lang", "text", place.alias("place")).collect()
+    spare = F.greatest(F.length("text") - STRETCH + 1, F.lit(1))
+    part = F.substring("text", (F.pmod(place, spare) + 1).cast("int"), F.lit(STRETCH))
+    sample = rows.filter(keep).select("lang", part.alias("text"), place.alias("place")).collect()
     dictionaries = {}
     for lang in sorted(counts, key=lambda lang: (-counts[lang], lang)):
         parts, size = [], 0

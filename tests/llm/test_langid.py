@@ -3,6 +3,7 @@
 import zlib
 
 import inputs
+import zstandard
 
 from ledgerloom.llm import langid
 from ledgerloom.llm.common import table
@@ -40,3 +41,42 @@ def test_odd_rows(spark):
 def test_narrow_margins_are_rejected(spark):
     models = {"a": langid.normalised(inputs.prose(900, 1)), "b": langid.normalised(inputs.prose(900, 1))}
     assert langid.identified(inputs.documents(spark, [inputs.prose(100, 9)]), models).first().rejected
+
+
+def test_languages_of_long_texts_only_are_learned(spark):
+    ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 4 != 2][:16]
+    texts = [inputs.prose(9_000, i, 300) if k % 2 else f"quelques mots en plus numéro {'z' * k}" for k, i in enumerate(ids)]
+    docs = inputs.documents(spark, texts, ids, ["long" if k % 2 else "fr" for k in range(16)])
+    models = langid.fitted(docs)
+    assert set(models) == {"long", "fr"} and all(len(m) <= langid.DICTIONARY_BYTES + 100 for m in models.values())
+    assert {r.lang_pred for r in langid.identified(docs, models).collect() if r.doc_id in ids[1::2]} == {"long"}
+
+
+def test_choice_is_the_smallest_size(spark):
+    docs = table(spark, inputs.SF_DIR, "documents")
+    models = langid.fitted(docs)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+
+    def size(text, model):
+        own = zstandard.ZstdCompressionDict(model, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        plain = "".join(c if c.isalpha() or c in "\u0300\u0301" else " " for c in text.lower())
+        return len(zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=own, write_checksum=False,
+                                            write_content_size=False, write_dict_id=False)
+                   .compress(" ".join(f"<{plain}>".split())[1:-1].encode()))
+
+    for row in langid.identified(docs, models).collect():
+        text = texts[row.doc_id]
+        if text is None or not any(map(str.isalpha, text)):
+            assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+            continue
+        sizes = {lang: size(text, model) for lang, model in models.items()}
+        best, second = sorted(sizes.values())[:2]
+        assert row.lang_pred == next(lang for lang in models if sizes[lang] == best)
+        assert abs(row.score - (1 - best / second)) < 1e-12
+        assert row.rejected == (row.score < langid.MIN_MARGIN)
+
+
+def test_ties_go_to_the_language_with_more_labels(spark):
+    same = langid.normalised(inputs.prose(200, 3))
+    got = langid.identified(inputs.documents(spark, [inputs.prose(60, 3)]), {"more": same, "less": same}).first()
+    assert (got.lang_pred, got.score, got.rejected) == ("more", 0.0, True)
