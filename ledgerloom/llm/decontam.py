@@ -7,9 +7,11 @@ five-word shingles and count as a leak from weighted Jaccard similarity 0.8 on.
    similarity t only with t (G + G') / (1 + t) common ones, so only windows with that many such
    places can count; a window that starts elsewhere can be moved to the next such place without
    losing common shingles. Nothing that could reach the threshold is left out.
+   This says where windows lie and how long they are, not which item they hold.
 2. These windows and the items get 64-bit SimHash fingerprints. Fingerprints are cut into 13 blocks;
    of two that differ in at most 24 bits, some block differs in at most one, so probing each block
-   with all one-bit changes finds every fingerprint within the radius.
+   with all one-bit changes finds every fingerprint within the radius. A window is looked up among
+   all items of its size.
 3. Candidates are verified by their exact weighted-shingle similarity.
 
 At similarity 0.8 fingerprints differ in 9.7 bits on average (standard deviation 2.9).
@@ -138,7 +140,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
           IF(places[size(places) - 1] > last, array(last), array()))""")
     windows = (spans.withColumn("start", F.explode(starts))
                .withColumn("own", F.slice("words", F.col("start") + 1, F.col("held") + F.col("size") - 1))
-               .select("node", "item", "start", "size", "n_grams", "held", "own"))
+               .groupBy("node", "start", "size", "n_grams").agg(F.first("held").alias("held"), F.first("own").alias("own")))
     windows = stored(windows, "windows")
 
     def hashes(frame: DataFrame, words: str) -> Column:
@@ -152,20 +154,22 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
             chosen = chosen.when(F.col("size") == size, at(size))
         return chosen
 
+    window = ["node", "start", "size", "n_grams"]
     coded = windows.withColumn("grams", hashes(windows, "own")).withColumn("code", fingerprint(F.col("grams")))
     probes = (item_words.dropDuplicates(["item"]).withColumn("grams", hashes(item_words, "words"))
               .withColumn("item_code", fingerprint(F.col("grams")))
-              .select("item", "item_code", F.explode(F.array_distinct(_block_rows(F.col("item_code"), True))).alias("cell"))
-              .select("item", "item_code", "cell.block", "cell.value"))
-    coded = stored(coded.select("node", "item", "start", "n_grams", "held", "grams", "code"), "coded")
+              .select("item", "size", "n_grams", "item_code",
+                      F.explode(F.array_distinct(_block_rows(F.col("item_code"), True))).alias("cell"))
+              .select("item", "size", "n_grams", "item_code", "cell.block", "cell.value"))
+    coded = stored(coded.select(*window, "held", "grams", "code"), "coded")
     probes = stored(probes, "probes")
-    met = (coded.select("node", "item", "start", "code", F.explode(_block_rows(F.col("code"), False)).alias("cell"))
-           .select("node", "item", "start", "code", "cell.block", "cell.value")
-           .join(sized(probes, probes.count(), 64), ["item", "block", "value"])
+    met = (coded.select(*window, "code", F.explode(_block_rows(F.col("code"), False)).alias("cell"))
+           .select(*window, "code", "cell.block", "cell.value")
+           .join(sized(probes, probes.count(), 64), ["size", "n_grams", "block", "value"])
            .filter(F.bit_count(F.col("code").bitwiseXOR(F.col("item_code"))) <= RADIUS)
-           .groupBy("node", "item", "start").agg(F.lit(True).alias("close")))
+           .select(*window, "item").distinct())
     counts = item_grams.groupBy("item", "gram").agg(F.count("*").alias("wanted"))
-    common = (met.join(coded, ["node", "item", "start"])
+    common = (met.join(coded, window)
               .select("node", "item", "start", "n_grams", "held", F.explode("grams").alias("gram"))
               .groupBy("node", "item", "start", "n_grams", "held", "gram").agg(F.count("*").alias("had"))
               .join(sized(counts, counts.count(), 64), ["item", "gram"])
