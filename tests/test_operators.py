@@ -205,6 +205,20 @@ def test_intervals_beyond_the_broadcast_limit_agree(spark):
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
 
 
+def test_salted_copies_are_never_broadcast(spark):
+    """Their number is not in the optimizer's estimate, so a join of copies is always shuffled."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    rows = spark.createDataFrame([("a", date(2020, 1, 1), 1)], "k string, t date, v long")
+    left = rows.select("k", F.col("t").alias("at"))
+    spans = asof.asof_join(left, rows, ["k"], "at", "t", ["v"], "interval", max_broadcast_rows=0)
+    targets = cross_targets(left, spark.createDataFrame([("USD",)], "target_currency string"), 0)
+    looked_up = joins.lookup_join(left, rows, ["k"], small=False)
+    for df in (spans, targets, looked_up):
+        assert "SortMergeJoin" in plan(df) and "BroadcastHashJoin" not in plan(df)
+
+
 def test_lookups_of_small_tables_start_no_job(spark, tmp_path):
     spark.range(50).selectExpr("id", "cast(id AS string) AS name").write.parquet(str(tmp_path / "dim"))
     dim = spark.read.parquet(str(tmp_path / "dim"))
