@@ -284,6 +284,15 @@ def test_balance_ways_agree(spark):
     assert Counter(ends.select(*pick).collect()) == Counter(grouped.select(*pick).collect())
 
 
+def test_long_spines_are_dealt_into_more_tasks(spark, monkeypatch):
+    rows = _bookings(spark, [(f"a{n}", "2024-01-01 01:00", str(n), "USD", "income") for n in range(40)])
+    spine = balances.account_day_spine(balances.account_bounds(rows), F.lit("2024-01-31").cast("date"))
+    monkeypatch.setattr(balances, "ROWS_PER_TASK", 100)
+    days = balances.running_balance(balances.spine_left_totals(spine, balances.daily_totals(rows)))
+    assert days.rdd.getNumPartitions() == 13  # 40 accounts of 31 days
+    assert Counter((r.account, int(r.balance)) for r in days.collect()) == {(f"a{n}", n): 31 for n in range(40)}
+
+
 def test_calendar_spine_without_days(spark):
     rows = spark.createDataFrame([(date(2026, 9, 1),), (date(2026, 8, 30),)], "start date")
     assert values(periods.calendar_spine(rows, "start", fx.as_of(), "day"), F.col("day").cast("string")) \
@@ -436,3 +445,47 @@ def test_conversion_is_exact(spark):
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented"):
         spark.sql("SELECT CAST('12345678901234567.00' AS DECIMAL(38,2)) AS a").select(
             amounts.convert_amount(F.col("a"), F.lit("USD"), F.lit("USD"), F.lit(None), F.lit(None))).collect()
+
+
+def test_conversion_to_targets_rounds_ties_and_large_amounts_exactly(spark):
+    """Quotients next to and on half a millionth, and beyond what a binary number holds."""
+    rates = spark.createDataFrame(
+        [(1, "USD", date(2026, 1, 1), Decimal("1")), (2, "KGS", date(2026, 1, 1), Decimal("8")),
+         (3, "EUR", date(2026, 1, 1), Decimal("0.3")), (4, "NIL", date(2026, 1, 1), Decimal("0"))],
+        "raw_id long, base_currency string, rate_date date, rate decimal(24,12)")
+    many = spark.createDataFrame([("BIG", date(2026, 1, 1), Decimal("80000")), ("ODD", date(2026, 1, 1), Decimal("79999.999999999"))],
+                                 "base_currency string, rate_date date, rate decimal(24,12)").withColumn("raw_id", F.lit(9))
+    rates = rates.unionByName(many)
+    amount = ["0.01", "0.04", "-0.04", "0.12", "-0.12", "1234567.89", "9999999999999999.99", "-9999999999999999.97", "0.00"]
+    rows = spark.createDataFrame([(Decimal(a), c, d) for a in amount for c in ("USD", "RUB", "XXX", None)
+                                  for d in (date(2026, 2, 1), date(2025, 1, 1))],
+                                 "amount decimal(18,2), currency string, day date")
+    codes = ["USD", "KGS", "EUR", "NIL", "BIG", "ODD", "RUB", "XXX"]
+    targets = spark.createDataFrame([(c,) for c in codes], "target_currency string")
+    got = convert_to_targets(rows, rates, targets, "amount", F.col("day"), "out").collect()
+    known = {r.base_currency: r.rate for r in rates.collect()}
+
+    def want(r):
+        if r.currency == r.target_currency:
+            return r.amount
+        own, to = (Decimal(1) if c == "RUB" else known.get(c) if r.day.year == 2026 else None
+                   for c in (r.currency, r.target_currency))
+        if own is None or not to:
+            return None
+        with localcontext() as exact:
+            exact.prec = 80
+            return (r.amount * own / to).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+
+    assert len(got) == rows.count() * len(codes)
+    assert [(r, want(r)) for r in got if r.out != want(r)] == []
+
+
+def test_marts_convert_before_periods_multiply(spark):
+    """One conversion per row and target, with its rate beside the target instead of a search per target."""
+    core = core_transactions(stg_transactions(fx.raw(spark), fx.registry(spark), *fx.SOURCE), fx.accounts(spark), fx.as_of())
+    rates = core_rates(stg_rates(fx.raw_rates(spark)))
+    none = spark.createDataFrame([], "tag string, is_active boolean")
+    for mart in (marts.fact_mart(core, rates, none, none), marts.balance_mart(core, rates, fx.as_of())):
+        plan = mart._jdf.queryExecution().optimizedPlan().toString()
+        assert -1 < plan.find("Generate inline(_periods") < plan.find("Generate inline(_targets")
+        assert "map" not in plan.split("Generate inline(_targets")[0]
