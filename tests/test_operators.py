@@ -489,3 +489,14 @@ def test_marts_convert_before_periods_multiply(spark):
         plan = mart._jdf.queryExecution().optimizedPlan().toString()
         assert -1 < plan.find("Generate inline(_periods") < plan.find("Generate inline(_targets")
         assert "map" not in plan.split("Generate inline(_targets")[0]
+
+
+def test_a_sure_quotient_needs_no_decimal_product(spark):
+    rates = spark.createDataFrame([(1, "USD", date(2026, 1, 1), Decimal("3"))],
+                                  "raw_id long, base_currency string, rate_date date, rate decimal(24,12)")
+    rows = spark.createDataFrame([(Decimal("250000000.01"), "RUB", date(2026, 2, 1)), (Decimal("-0.02"), "RUB", date(2026, 2, 1))],
+                                 "amount decimal(18,2), currency string, day date")
+    targets = spark.createDataFrame([("USD",)], "target_currency string")
+    got = convert_to_targets(rows, rates, targets, "amount", F.col("day"), "out")
+    assert "* 0.000001" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.out for r in got.collect()) == [Decimal("-0.006667"), Decimal("83333333.336667")]
