@@ -1,5 +1,6 @@
 """Edge cases, other ways behind size checks, and brute-force comparisons."""
 
+import re
 from collections import Counter
 from datetime import date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal, localcontext
@@ -491,6 +492,20 @@ def test_marts_convert_before_periods_multiply(spark):
         assert "map" not in plan.split("Generate inline(_targets")[0]
 
 
+def test_rows_of_a_run_are_not_all_held_at_once(spark):
+    """Days are made in another compiled stage than their rows per target and period."""
+    core = core_transactions(stg_transactions(fx.raw(spark), fx.registry(spark), *fx.SOURCE), fx.accounts(spark), fx.as_of())
+    mart = marts.balance_mart(core, core_rates(stg_rates(fx.raw_rates(spark))), fx.as_of())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = mart.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    stage = {what: re.search(r"\*\((\d+)\) Generate " + what, plan)[1]
+             for what in (r"inline\(_targets", r"inline\(_periods", r"explode\(sequence\(valid_from")}
+    assert stage[r"inline\(_targets"] == stage[r"inline\(_periods"] != stage[r"explode\(sequence\(valid_from"]
+
+
 def test_a_sure_quotient_needs_no_decimal_product(spark):
     rates = spark.createDataFrame([(1, "USD", date(2026, 1, 1), Decimal("3"))],
                                   "raw_id long, base_currency string, rate_date date, rate decimal(24,12)")
